@@ -1,10 +1,11 @@
-"""Reproducible pseudo-random draws from a row key, as plain integer columns.
+"""Reproducible pseudo-random draws from a row key.
 
 A draw is a pure function of (row key, salt): a task that is run again gives
 the same draws, they do not depend on how rows are partitioned, and no state
-is shared between tasks.  The arithmetic is xor / shift / multiply on longs
-that never pass 2**63, so it stays in generated code and works under ANSI
-overflow checks.
+is shared between tasks.
+
+:func:`uniform32` is one draw per row as a column.  :func:`poisson_weights` is
+the many-draws-per-row form for a numpy task, with a cheaper hash.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ MULTIPLIERS = (0x7FEB352D, 0x31848BAB)
 
 
 def mix_int(x: int) -> int:
-    """The mixing step of :func:`mix` for one Python integer."""
+    """Scramble a 32-bit integer: xor-shift and multiply, twice."""
     x ^= x >> 16
     x = (x * MULTIPLIERS[0]) & MASK
     x ^= x >> 15
@@ -33,35 +34,20 @@ def salt(seed: int, replicate: int = 0) -> int:
     return mix_int(mix_int(seed & MASK) ^ (replicate & MASK))
 
 
-def mix(df: DataFrame, col: str) -> DataFrame:
-    """Scramble a 32-bit column in place.
-
-    Written as a chain of projections: each step uses its input twice, and one
-    nested expression would double in size with every step.
-    """
-    x = F.col(col)
-    lit = F.lit
-    return (
-        df.withColumn(col, (x.bitwiseXOR(F.shiftright(x, 16)) * lit(MULTIPLIERS[0])).bitwiseAND(lit(MASK)))
-        .withColumn(col, (x.bitwiseXOR(F.shiftright(x, 15)) * lit(MULTIPLIERS[1])).bitwiseAND(lit(MASK)))
-        .withColumn(col, x.bitwiseXOR(F.shiftright(x, 16)))
-    )
-
-
-def low_bits(key: Column) -> Column:
-    return key.cast("long").bitwiseAND(F.lit(MASK))
-
-
-def high_bits(key: Column) -> Column:
-    return F.shiftrightunsigned(key.cast("long"), 32)
+def uniform32(key: Column, seed: int = 42) -> Column:
+    """A whole number in 0 .. 2**32 - 1 from a row key."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def add_draw(df: DataFrame, key: Column, out: str, seed: int = 42) -> DataFrame:
-    """Add a uniform 32-bit draw for a whole-number row key."""
-    high = f"{out}__high"
-    df = df.withColumn(out, low_bits(key).bitwiseXOR(F.lit(salt(seed)))).withColumn(high, high_bits(key))
-    df = mix(df, out).withColumn(out, F.col(out).bitwiseXOR(F.col(high))).drop(high)
-    return mix(df, out)
+    """Add :func:`uniform32` as a column that filters can be put on.
+
+    Exploding a one-element array keeps the draw a column of its own.  As a
+    plain projection the optimizer would inline it into every later filter, and
+    a hash of many renamed columns makes its constraint inference exponential.
+    """
+    return df.select("*", F.explode(F.array(uniform32(key, seed))).alias(out))
 
 
 def poisson_limits() -> list[int]:
@@ -80,7 +66,8 @@ def poisson_limits() -> list[int]:
 def poisson_weights(keys, salts):
     """Poisson(1) weights as a (salts x keys) numpy block of 8-bit integers.
 
-    The same draw as :func:`add_draw` makes from a key, one row per salt.
+    The key's two 32-bit halves are mixed into each salt in turn, so two keys
+    may share a draw for some salt but never for all.
     """
     import numpy as np
 
@@ -99,7 +86,7 @@ def poisson_weights(keys, salts):
 
 
 def _mix_block(x, spare) -> None:
-    """:func:`mix` on an array of 32-bit integers, in place."""
+    """:func:`mix_int` on an array of 32-bit integers, in place."""
     import numpy as np
 
     for shift, multiplier in ((16, MULTIPLIERS[0]), (15, MULTIPLIERS[1]), (16, None)):

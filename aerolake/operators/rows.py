@@ -105,6 +105,8 @@ def sample_exact(df: DataFrame, n: int, key: str | None = None, seed: int = 42)
     inside = drawn.where(high == bucket.bucket)
     value = _limit_bucket(inside, low, n - bucket.before)
     limit = (bucket.bucket << 16) | value.bucket
+    if value.upto == n - bucket.before:
+        return drawn.where(F.col(draw) <= limit).select(*columns)
     below = drawn.where(F.col(draw) < limit).select(*columns)
     tied = drawn.where(F.col(draw) == limit).select(*columns)
     missing = n - bucket.before - value.before
@@ -114,11 +116,13 @@ def sample_exact(df: DataFrame, n: int, key: str | None = None, seed: int = 42)
 
 
 def _limit_bucket(df: DataFrame, bucket: Column, n: int):
-    """The bucket in which the ``n``-th row falls and the number of rows before it."""
+    """The bucket in which the ``n``-th row falls, with the number of rows before
+    its first row and up to its last."""
     counts = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
     running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("bucket")))
     return (running.where(F.col("upto") >= n)
-            .agg(F.min("bucket").alias("bucket"), F.min(F.col("upto") - F.col("n")).alias("before"))
+            .agg(F.min("bucket").alias("bucket"), F.min(F.col("upto") - F.col("n")).alias("before"),
+                 F.min("upto").alias("upto"))
             .where("bucket IS NOT NULL").first())
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.base import Estimator
@@ -62,17 +64,17 @@ def cross_validate(frame: DataFrame, features: Sequence[str],
                    metric: Callable[[DataFrame], DataFrame], scale: bool = True, k: int = FOLDS) -> DataFrame:
     """(fold, score): fit on the other folds, score on the held-out one.
 
-    Scaling is learnt on the training folds only.  Five fits, each a
-    distributed job over the whole frame; each score is one aggregate.
+    Scaling is learnt on the training folds only.  The fits are independent
+    distributed jobs, submitted side by side; each score is one aggregate.
     """
-    scores = None
-    for fold in range(k):
+    def held_out_score(fold: int) -> DataFrame:
         train, held_out = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
         if scale:
             moments = fit_scaler(train, features)
             train, held_out = standardize(train, moments), standardize(held_out, moments)
         model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
                                  *estimators(features, train)]).fit(train)
-        score = metric(model.transform(held_out)).select(F.lit(fold).alias("fold"), "score")
-        scores = score if scores is None else scores.unionByName(score)
-    return scores
+        return metric(model.transform(held_out)).select(F.lit(fold).alias("fold"), "score")
+
+    with ThreadPoolExecutor(k) as pool:
+        return reduce(DataFrame.unionByName, pool.map(held_out_score, range(k)))

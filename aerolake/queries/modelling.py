@@ -242,9 +242,7 @@ def _resample_sql() -> str:
                         / sqrt(df * pi()) * pow(1 + x * x / df, -(df + 1) / 2.0)) AS p FROM grid GROUP BY t_stat, df)"""
 
 
-def _sample_sql() -> str:
-    drawn = _draw_sql("o_orderkey", "orders", "o_orderkey, o_custkey, o_totalprice", str(draws.salt(42)))
-    return f"SELECT o_orderkey, o_custkey, o_totalprice FROM {drawn} ORDER BY u, o_orderkey LIMIT {SAMPLE_ROWS}"
+_ORDER_DRAW = "CAST(concat('0x', substr(md5(concat(CAST(o_orderkey AS VARCHAR), ':42')), 1, 8)) AS BIGINT)"
 
 
 QUERIES = {
@@ -275,10 +273,10 @@ QUERIES = {
         SELECT round(t_stat, 4) AS t_stat, round(p, 6) AS p_value, p < 0.05 AS promote,
                (SELECT round(quantile_cont(d, 0.05), 6) FROM d) AS diff_p05,
                (SELECT round(quantile_cont(d, 0.95), 6) FROM d) AS diff_p95 FROM tested"""),
-    "sample_n": (sample_n, _sample_sql()),
-    "cv_folds": (cv_folds, f"""SELECT CAST(u % 5 AS INTEGER) AS fold, count(*) AS row_count,
-        round(sum(o_totalprice), 2) AS sum_price
-        FROM {_draw_sql("o_orderkey", "orders", "o_totalprice", str(draws.salt(42)))} GROUP BY 1"""),
+    "sample_n": (sample_n, f"""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        ORDER BY {_ORDER_DRAW}, o_orderkey LIMIT {SAMPLE_ROWS}"""),
+    "cv_folds": (cv_folds, f"""SELECT CAST({_ORDER_DRAW} % 5 AS INTEGER) AS fold, count(*) AS row_count,
+        round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1"""),
     "cross_validate": (cross_validate, None),
     "logreg_score": (logreg_score, None),
     "gbt_score": (gbt_score, None),

@@ -69,11 +69,11 @@ def stats_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = registry.latest_run(fixtures.runs(spark, sf_dir))
-    return newest.select("experiment", "run_id", "start_time", F.round(F.col("metrics")["r2"], 6).alias("r2"))
+    return newest.select("experiment", "run_id", "start_time", F.round(F.col("metrics")["r2"], 8).alias("r2"))
 
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(registry.metrics_long(fixtures.runs(spark, sf_dir)))
+    return rounded(registry.metrics_long(fixtures.runs(spark, sf_dir)), 8)
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,10 +119,10 @@ QUERIES = {
         SELECT CAST(2 AS BIGINT), 'fresh', CAST(count(*) AS DOUBLE), CAST(21 AS DOUBLE)
         FROM flights WHERE {_FRESH}"""),
     "stats_schema": (stats_schema, _listing()),
-    "latest_run": (latest_run, f"""WITH {RUNS_SQL} SELECT experiment, run_id, start_time, round(r2, 6) AS r2 FROM runs
+    "latest_run": (latest_run, f"""WITH {RUNS_SQL} SELECT experiment, run_id, start_time, round(r2, 8) AS r2 FROM runs
         QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id DESC) = 1"""),
     "metrics_long": (metrics_long, f"WITH {RUNS_SQL} " + " UNION ALL ".join(
-        f"SELECT experiment, run_id, start_time, '{m}' AS metric_name, round({m}, 6) AS value FROM runs"
+        f"SELECT experiment, run_id, start_time, '{m}' AS metric_name, round({m}, 8) AS value FROM runs"
         for m in ("r2", "rmse", "mae"))),
     "latest_version": (latest_version, f"""WITH {REGISTRY_SQL} SELECT name, version, path FROM registry
         QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) = 1"""),

@@ -64,8 +64,8 @@ def accumulate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.write_snapshot(rows.date_slice(clean, config.date_dk, start, end), config.clean_path)
         features.concat_features(spark, config)
     return tables.read_parquet(spark, config.features_path).groupBy("FL_DATE").agg(
-        F.count("*").alias("row_count"), F.round(F.sum("DEP_DELAY"), 4).alias("sum_dep_delay"),
-        F.round(F.sum("ARR_DELAY"), 4).alias("sum_arr_delay"))
+        F.count("*").alias("row_count"), F.round(F.sum("DEP_DELAY"), 6).alias("sum_dep_delay"),
+        F.round(F.sum("ARR_DELAY"), 6).alias("sum_arr_delay"))
 
 
 def prepare_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,8 +134,8 @@ QUERIES = {
     "clean_rows": (clean_rows, _sql(ROW_SQL, "WHERE ARR_DELAY IS NOT NULL")),
     "clean_counts": (clean_counts, _sql("count(*) AS rows_before, count(ARR_DELAY) AS rows_after")),
     "accumulate_features": (accumulate_features, _sql(
-        "FL_DATE, count(*) AS row_count, round(sum(DEP_DELAY), 4) AS sum_dep_delay, "
-        "round(sum(ARR_DELAY), 4) AS sum_arr_delay", f"WHERE {_FRESH} AND ARR_DELAY IS NOT NULL GROUP BY FL_DATE")),
+        "FL_DATE, count(*) AS row_count, round(sum(DEP_DELAY), 6) AS sum_dep_delay, "
+        "round(sum(ARR_DELAY), 6) AS sum_arr_delay", f"WHERE {_FRESH} AND ARR_DELAY IS NOT NULL GROUP BY FL_DATE")),
     "prepare_history": (prepare_history, f"""WITH {FLIGHTS_SQL},
         shifted AS (SELECT * REPLACE (CAST(FL_DATE + 1825 AS DATE) AS FL_DATE), year(FL_DATE) AS source_year
                     FROM flights WHERE DEP_DELAY IS NOT NULL),

@@ -31,7 +31,8 @@ def canonical(columns, rows):
 
 
 def spark_rows(df):
-    return canonical(df.columns, [tuple(r) for r in df.collect()])
+    table = df.toArrow()
+    return canonical(df.columns, list(zip(*(c.to_pylist() for c in table.columns))))
 
 
 def duck_rows(con, sql):
