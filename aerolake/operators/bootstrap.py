@@ -30,6 +30,9 @@ def bootstrap_r2(df: DataFrame, key: Column, label: str, predictions: Mapping[st
     errors = [(y - F.col(predictions[m])) for m in models]
     rows = df.select(key.cast("long").alias("key"), y.alias("y"), (y * y).alias("yy"),
                      *((e * e).alias(f"se{i}") for i, e in enumerate(errors)))
+    # Few bytes but much work per row: spread the rows over all cores, whatever
+    # the file layout.  Keys are unique, so the spread is even.
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism, "key")
     sums = ["n", "sy", "syy", *(f"se{i}" for i in range(len(models)))]
     salts = [salt(seed, r) for r in range(replicates)]
     partial = rows.mapInArrow(_weighted_sums(salts, sums),
@@ -81,15 +84,18 @@ def t_test(summary: DataFrame, first: str, second: str) -> DataFrame:
 
     One row: t_stat, df, p_value.
     """
-    def of(model: str, col: str) -> Column:
-        return F.max(F.when(F.col("model") == model, F.col(col)))
-
-    row = summary.agg(*(of(m, c).alias(f"{c}{i}") for i, m in enumerate((first, second))
-                        for c in ("n", "mean_r2", "var_r2")))
-    n0, n1 = F.col("n0"), F.col("n1")
-    pooled = ((n0 - 1) * F.col("var_r20") + (n1 - 1) * F.col("var_r21")) / (n0 + n1 - 2)
-    t = (F.col("mean_r20") - F.col("mean_r21")) / F.sqrt(pooled * (1 / n0 + 1 / n1))
-    return (row.select(t.alias("t_stat"), (n0 + n1 - 2).cast("int").alias("df"))
+    row = summary.agg(*(F.max(F.when(F.col("model") == model, F.col(col))).alias(f"{col}_{side}")
+                        for side, model in (("a", first), ("b", second))
+                        for col in ("n", "mean_r2", "var_r2")))
+    return _tested(row).select("t_stat", "df", "p_value")
+
+
+def _tested(row: DataFrame) -> DataFrame:
+    """Add t_stat, df and p_value to a row with n, mean_r2 and var_r2 of a and b."""
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    pooled = ((n_a - 1) * F.col("var_r2_a") + (n_b - 1) * F.col("var_r2_b")) / (n_a + n_b - 2)
+    t = F.try_divide(F.col("mean_r2_a") - F.col("mean_r2_b"), F.sqrt(pooled * (1 / n_a + 1 / n_b)))
+    return (row.withColumn("t_stat", t).withColumn("df", (n_a + n_b - 2).cast("int"))
             .withColumn("p_value", student_t_below(F.col("t_stat"), F.col("df"))))
 
 
@@ -120,12 +126,22 @@ def student_t_below(t: Column, df: Column) -> Column:
 def promotion_decision(replicate_r2: DataFrame, champion: str, challenger: str,
                        significance: float = 0.05) -> DataFrame:
     """One row: the test, the decision, and the 5% / 95% points of the paired
-    difference challenger minus champion (both saw the same resamples)."""
-    test = t_test(bootstrap_summary(replicate_r2), champion, challenger)
-    paired = (replicate_r2.groupBy("replicate").pivot("model", [champion, challenger]).agg(F.first("r2"))
-              .select((F.col(f"`{challenger}`") - F.col(f"`{champion}`")).alias("_d"))
-              .agg(F.percentile("_d", F.lit(0.05)).alias("diff_p05"),
-                   F.percentile("_d", F.lit(0.95)).alias("diff_p95")))
-    return test.select("*", F.coalesce(F.col("p_value") < significance, F.lit(False)).alias("promote"),
-                       paired.select("diff_p05").scalar().alias("diff_p05"),
-                       paired.select("diff_p95").scalar().alias("diff_p95"))
+    difference challenger minus champion (both saw the same resamples).
+
+    The resamples are computed once and folded in one aggregate.  Without any
+    spread in the replicates there is no test, and the decision is no.
+    """
+    def of(model: str) -> Column:
+        return F.max(F.when(F.col("model") == model, F.col("r2")))
+
+    paired = replicate_r2.groupBy("replicate").agg(of(champion).alias("a"), of(challenger).alias("b"))
+    difference = F.col("b") - F.col("a")
+    row = paired.agg(
+        *(column for side in "ab" for column in (
+            F.count(side).alias(f"n_{side}"), F.mean(side).alias(f"mean_r2_{side}"),
+            F.var_samp(side).alias(f"var_r2_{side}"))),
+        F.percentile(difference, F.lit(0.05)).alias("diff_p05"),
+        F.percentile(difference, F.lit(0.95)).alias("diff_p95"))
+    return _tested(row).select(
+        "t_stat", "df", "p_value",
+        F.coalesce(F.col("p_value") < significance, F.lit(False)).alias("promote"), "diff_p05", "diff_p95")

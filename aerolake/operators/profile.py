@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def clean_counts_columns(target: str) -> list[Column]:
+    return [F.count("*").alias("rows_before"), F.count(target).alias("rows_after")]
+
+
 def clean_counts(df: DataFrame, target: str) -> DataFrame:
     """Rows before and after the target filter, in one pass."""
-    return df.agg(F.count("*").alias("rows_before"), F.count(target).alias("rows_after"))
+    return df.agg(*clean_counts_columns(target))
 
 
 def date_bounds(df: DataFrame, date_col: str) -> DataFrame:

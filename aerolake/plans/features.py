@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from aerolake.config import FlightConfig
 from aerolake.functions.dates import first_run_lower_bound
 from aerolake.functions.encoding import nan_to_null
 from aerolake.operators.checks import require_columns, require_same_columns
-from aerolake.operators.profile import clean_counts
+from aerolake.operators.profile import clean_counts_columns
 from aerolake.operators.rows import date_slice, drop_null_target
 from aerolake.sources import sinks, state
 from aerolake.sources.tables import read_if_exists, read_parquet
@@ -39,11 +39,15 @@ def collect_raw_data(spark: SparkSession, config: FlightConfig) -> None:
 
 
 def clean_data(spark: SparkSession, config: FlightConfig) -> None:
-    """Check the column contract and drop rows without a target."""
+    """Check the column contract and drop rows without a target.
+
+    The rows before and after are counted by the write itself.
+    """
     fresh = require_columns(read_parquet(spark, config.fresh_path), config.required_columns)
-    counts = clean_counts(fresh, config.target_column).first()
-    logger.info("Rows before cleaning %d, after %d", counts.rows_before, counts.rows_after)
-    sinks.write_snapshot(drop_null_target(fresh, config.target_column), config.clean_path)
+    counts = Observation("clean_counts")
+    counted = fresh.observe(counts, *clean_counts_columns(config.target_column))
+    sinks.write_snapshot(drop_null_target(counted, config.target_column), config.clean_path)
+    logger.info("Rows before and after cleaning: %s", counts.get)
 
 
 def concat_features(spark: SparkSession, config: FlightConfig) -> None:

@@ -12,6 +12,7 @@ from aerolake.config import FLIGHT_COLUMNS, HISTORY_SHIFT_DAYS
 from aerolake.functions.dates import shift_days
 from aerolake.functions.encoding import nan_to_null
 from aerolake.operators.profile import modal_year
+from aerolake.operators.rows import drop_null_target
 from aerolake.sources import sinks
 from aerolake.sources.tables import read_csv_files
 
@@ -24,7 +25,7 @@ def prepare_history(rows: DataFrame, file_col: str, date_col: str = "FL_DATE", t
     The per-file years are a small table; adaptive execution broadcasts it if
     its measured size allows, else shuffles and splits skewed files.
     """
-    shifted = rows.dropna(subset=[target]).withColumn(date_col, shift_days(date_col, shift))
+    shifted = drop_null_target(rows, target).withColumn(date_col, shift_days(date_col, shift))
     years = modal_year(shifted, date_col, [file_col])
     return (shifted.join(years, file_col).where(F.year(date_col) == F.col("modal_year"))
             .select(*columns))

@@ -38,11 +38,16 @@ def fit_model(train: DataFrame, config: FlightConfig, impute_on: DataFrame | Non
     Two passes over the rows: one for the fill values, one for the regression's
     normal equations.  The fill values come from ``impute_on`` (default: the
     training rows, so that validation rows do not leak into them).
+
+    All seven weekday flags are made and filled, but the last one is not given
+    to the regression: the seven add up to the intercept's constant, and with
+    all of them the normal equations are singular.  Predictions are the same;
+    the weights are then unique.
     """
     features = config.model_features
     imputer = mean_imputer(features).fit(train if impute_on is None else impute_on)
     stages = [imputer,
-              VectorAssembler(inputCols=[f"{c}_imputed" for c in features], outputCol="features"),
+              VectorAssembler(inputCols=[f"{c}_imputed" for c in features[:-1]], outputCol="features"),
               LinearRegression(featuresCol="features", labelCol=config.target_column)]
     return Pipeline(stages=stages).fit(train)
 

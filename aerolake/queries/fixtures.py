@@ -66,9 +66,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        *(f"{e} AS {c}" for c, e in FLIGHT_EXPRESSIONS.items()))
+def flights(spark: SparkSession, sf_dir: str, staging: bool = False) -> DataFrame:
+    """The flight rows; ``staging`` is for queries that first write them out.
+
+    The test tables are one row group each, which a single task would read and
+    write, so staging spreads a table of fewer files than cores.  A table of
+    many files is left as it is.
+    """
+    lineitem = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if staging and len(lineitem.inputFiles()) < cores:
+        lineitem = lineitem.repartition(cores)
+    return lineitem.selectExpr(*(f"{e} AS {c}" for c, e in FLIGHT_EXPRESSIONS.items()))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ SAMPLE_ROWS = 10_000
 
 
 def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.time_split(training.model_frame(flights(spark, sf_dir), DEFAULTS), "FL_DATE", BOUND)[0]
+    return rows.time_split(training.model_frame(flights(spark, sf_dir, staging=True), DEFAULTS), "FL_DATE", BOUND)[0]
 
 
 def _validation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _score_csv(spark: SparkSession, sf_dir: str, vectors: str) -> str:
     source, target = shared_folder(spark, "to-score"), shared_folder(spark, "scores")
-    sinks.write_csv(flights(spark, sf_dir), source)
+    sinks.write_csv(flights(spark, sf_dir, staging=True), source)
     scoring.score_batch(spark, DEFAULTS, _fit(spark, sf_dir), source, target, vectors=vectors)
     return target
 

@@ -40,14 +40,14 @@ def date_slice_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = config_in(spark, "ingest")
-    sinks.write_by_year(flights(spark, sf_dir), config.raw_path, "FL_DATE")
+    sinks.write_by_year(flights(spark, sf_dir, staging=True), config.raw_path, "FL_DATE")
     features.collect_raw_data(spark, config)
     return rounded(tables.read_parquet(spark, config.fresh_path).select(*ROW))
 
 
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = config_in(spark, "clean")
-    sinks.write_snapshot(flights(spark, sf_dir), config.fresh_path)
+    sinks.write_snapshot(flights(spark, sf_dir, staging=True), config.fresh_path)
     features.clean_data(spark, config)
     return rounded(tables.read_parquet(spark, config.clean_path).select(*ROW))
 
@@ -71,7 +71,7 @@ def accumulate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prepare_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files in one folder per source year, shifted and trimmed."""
     source, target = shared_folder(spark, "history-in"), shared_folder(spark, "history-out")
-    (flights(spark, sf_dir).withColumn("source_year", F.year("FL_DATE")).write
+    (flights(spark, sf_dir, staging=True).withColumn("source_year", F.year("FL_DATE")).write
      .option("header", True).partitionBy("source_year").csv(source))
     history.load_history(spark, source, target, level="folder")
     return rounded(tables.read_parquet(spark, target).select("year", *ROW))

@@ -35,19 +35,19 @@ def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "csv")
-    sinks.write_csv(flights(spark, sf_dir), path)
+    sinks.write_csv(flights(spark, sf_dir, staging=True), path)
     return rounded(tables.read_csv(spark, path, schema.FLIGHT))
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "parquet")
-    sinks.write_snapshot(flights(spark, sf_dir), path)
+    sinks.write_snapshot(flights(spark, sf_dir, staging=True), path)
     return rounded(tables.read_parquet(spark, path))
 
 
 def _carrier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "carriers")
-    (flights(spark, sf_dir).withColumn("carrier", F.col("OP_CARRIER")).write
+    (flights(spark, sf_dir, staging=True).withColumn("carrier", F.col("OP_CARRIER")).write
      .option("header", True).partitionBy("carrier").csv(path))
     return tables.read_csv_files(spark, path, schema.FLIGHT, level="folder")
 
@@ -67,7 +67,7 @@ def scan_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partition_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "years")
-    sinks.write_by_year(flights(spark, sf_dir), path, "FL_DATE")
+    sinks.write_by_year(flights(spark, sf_dir, staging=True), path, "FL_DATE")
     return tables.read_parquet(spark, path).groupBy("year").agg(
         F.count("*").alias("row_count"), F.min("FL_DATE").alias("min_date"),
         F.max("FL_DATE").alias("max_date"))
