@@ -76,7 +76,7 @@ def flights(spark: SparkSession, sf_dir: str, staging: bool = False) -> DataFram
     lineitem = table(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism
     if staging and len(lineitem.inputFiles()) < cores:
-        lineitem = lineitem.repartition(cores)
+        lineitem = lineitem.repartition(cores, "l_orderkey")
     return lineitem.selectExpr(*(f"{e} AS {c}" for c, e in FLIGHT_EXPRESSIONS.items()))
 
 
