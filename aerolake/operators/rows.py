@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from aerolake.functions.draws import add_draw
 from aerolake.operators.profile import modal_year
 
+LOOK_BACK_DAYS = (30, 120, 480)
+
 
 def date_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date,
                year_col: str | None = None) -> DataFrame:
@@ -70,15 +72,23 @@ def newest_cutoff(df: DataFrame, date_col: str, cap: int) -> DataFrame:
     )
 
 
-def cap_newest(df: DataFrame, date_col: str, cap: int, seed: int = 42) -> DataFrame:
-    """The newest ``cap`` rows; which rows of the cut day stay is set by their
-    content, so a second evaluation gives the same rows.
+def cap_newest(df: DataFrame, date_col: str, cap: int, seed: int = 42,
+               newest: dt.date | None = None) -> DataFrame:
+    """The newest ``cap`` dated rows; which rows of the cut day stay is set by
+    their content, so a second evaluation gives the same rows.
 
-    Whole days are kept by a filter; only the cut day is sampled.  Rows without
-    a date go first when the cap bites.
+    Whole days are kept by a filter; only the cut day is sampled.  With
+    ``newest`` (a date near the newest rows) the days are counted over a short
+    look-back first, and over a longer one only while the cap is not filled, so
+    a long history is not scanned for a few recent days.
     """
-    cut = newest_cutoff(df, date_col, cap).first()
-    if cut.rows_after + cut.rows_on_day < cap:
+    for look_back in (*LOOK_BACK_DAYS, None) if newest else (None,):
+        recent = df if look_back is None else df.where(
+            F.col(date_col) > F.lit(newest - dt.timedelta(days=look_back)))
+        cut = newest_cutoff(recent, date_col, cap).first()
+        if cut.rows_after + cut.rows_on_day == cap:
+            break
+    else:
         return df.where(F.col(date_col).isNotNull())
     newer = df.where(F.col(date_col) > F.lit(cut.cut_day))
     on_day = df.where(F.col(date_col) == F.lit(cut.cut_day))

@@ -34,7 +34,9 @@ def collect_raw_data(spark: SparkSession, config: FlightConfig) -> None:
     fresh = date_slice(raw, config.date_dk, from_date, to_date, year)
     if year:
         fresh = fresh.drop(year)
-    sinks.write_snapshot(nan_to_null(fresh), config.fresh_path)
+    # A slice of a long table leaves a few rows in each of many tasks; the
+    # rebalance writes them as few well-filled files.
+    sinks.write_snapshot(nan_to_null(fresh).hint("rebalance"), config.fresh_path)
     state.set_watermark(spark, config.watermark_path, config.dataset_name, to_date)
 
 

@@ -68,8 +68,9 @@ def train_model(spark: SparkSession, config: FlightConfig) -> dict[str, float]:
     """
     started = dt.datetime.now()
     features = model_frame(read_parquet(spark, config.features_path), config)
-    train, test = time_split(features, config.date_dk, split_bound(config.run_date(), config.val_days))
-    sinks.write_snapshot(cap_newest(train, config.date_dk, config.max_train_size, config.seed),
+    bound = split_bound(config.run_date(), config.val_days)
+    train, test = time_split(features, config.date_dk, bound)
+    sinks.write_snapshot(cap_newest(train, config.date_dk, config.max_train_size, config.seed, bound),
                          config.train_path)
     sinks.write_snapshot(test, config.test_path)
     train, test = read_parquet(spark, config.train_path), read_parquet(spark, config.test_path)

@@ -101,7 +101,7 @@ def train_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per day that stay in training under a cap of 5,000 rows."""
     clean = rows.drop_null_target(flights(spark, sf_dir), "ARR_DELAY")
     train, _ = rows.time_split(clean, "FL_DATE", BOUND)
-    return rows.cap_newest(train, "FL_DATE", TRAIN_CAP).groupBy("FL_DATE").agg(F.count("*").alias("row_count"))
+    return rows.cap_newest(train, "FL_DATE", TRAIN_CAP, newest=BOUND).groupBy("FL_DATE").agg(F.count("*").alias("row_count"))
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
