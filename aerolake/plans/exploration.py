@@ -29,7 +29,10 @@ def exploration_frame(df: DataFrame, features: Sequence[str], label: str, k: int
                       seed: int = 42) -> DataFrame:
     """Complete rows with a fold number, drawn from the row's content."""
     rows = df.select(*(F.col(c).cast("double").alias(c) for c in features),
-                     F.col(label).cast("double").alias("label")).dropna()
+                     F.col(label).cast("double").alias("label"))
+    # One condition per column: a single condition over many renamed columns
+    # makes the optimizer's constraint inference exponential.
+    rows = rows.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in rows.columns)))
     return add_fold(rows, F.xxhash64(*rows.columns), k, seed)
 
 
