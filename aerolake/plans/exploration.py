@@ -68,16 +68,18 @@ def cross_validate(frame: DataFrame, features: Sequence[str],
     """(fold, score): fit on the other folds, score on the held-out one.
 
     Scaling is learnt on the training folds only.  The fits are independent
-    distributed jobs, submitted side by side; each score is one aggregate.
+    distributed jobs, submitted side by side.  Each score is one aggregate, taken
+    right after its fit, so that only ``k`` numbers and no model are kept.
     """
-    def held_out_score(fold: int) -> DataFrame:
+    def held_out_score(fold: int) -> tuple[int, float]:
         train, held_out = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
         if scale:
             moments = fit_scaler(train, features)
             train, held_out = standardize(train, moments), standardize(held_out, moments)
         model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
                                  *estimators(features, train)]).fit(train)
-        return metric(model.transform(held_out)).select(F.lit(fold).alias("fold"), "score")
+        return fold, metric(model.transform(held_out)).first()["score"]
 
     with ThreadPoolExecutor(k) as pool:
-        return reduce(DataFrame.unionByName, pool.map(held_out_score, range(k)))
+        scores = list(pool.map(held_out_score, range(k)))
+    return frame.sparkSession.createDataFrame(scores, "fold int, score double")

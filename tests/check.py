@@ -45,7 +45,7 @@ def main(args):
                 print("   differing", len(pairs), pairs[:3], flush=True)
         except Exception as error:
             bad += 1
-            print(f"FAIL  {name}: {type(error).__name__}: {str(error)[:600]}", flush=True)
+            print(f"FAIL  {name}: {type(error).__name__}: {str(error)[:6000]}", flush=True)
     return bad
 
 
