@@ -14,14 +14,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake import schema
 from aerolake.config import INPUT_FEATURES
 from aerolake.functions import draws, encoding
 from aerolake.operators import bootstrap, metrics, rows
 from aerolake.plans import exploration, scoring, training
-from aerolake.queries.fixtures import FLIGHTS_SQL, config_in, flights, table
+from aerolake.queries.fixtures import FLIGHTS_SQL, flights, table
 from aerolake.queries.preparation import BOUND, DEFAULTS
-from aerolake.sources import sinks, tables
+from aerolake.sources import sinks
 from aerolake.sources.workspace import shared_folder
 
 KEYS = ("FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST")

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake import schema
 from aerolake.config import FlightConfig
 from aerolake.functions.dates import first_run_lower_bound
 from aerolake.operators import profile, rows

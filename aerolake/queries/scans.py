@@ -9,7 +9,7 @@ from aerolake import schema
 from aerolake.config import FLIGHT_COLUMNS, INPUT_FEATURES
 from aerolake.functions import dates, encoding
 from aerolake.operators import profile
-from aerolake.queries.fixtures import FLIGHTS_SQL, flights, rounded, rounded_sql, table
+from aerolake.queries.fixtures import FLIGHTS_SQL, flights, rounded, rounded_sql
 from aerolake.sources import sinks, tables
 from aerolake.sources.workspace import shared_folder
 
