@@ -1,4 +1,9 @@
-"""Shared scratch space for tables that have to be written between steps."""
+"""Shared scratch space for tables that have to be written between steps.
+
+Every folder handed out lies below one folder of the session, which the file
+system removes when the driver's JVM ends.  Nothing is removed earlier, because
+a returned frame may still read it.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: str | None = None
+_session_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -16,12 +21,20 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     Only a local session, whose executors all see this machine's disk, may fall
     back to a temporary folder when that setting is missing.
     """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="aerolake-")
-        base = _local_base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _session_folders:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach")
+            base = tempfile.mkdtemp(prefix="aerolake-")
+        _session_folders[app] = _removed_at_exit(spark, f"{base.rstrip('/')}/session-{uuid.uuid4().hex}")
+    return f"{_session_folders[app]}/{label}-{uuid.uuid4().hex}"
+
+
+def _removed_at_exit(spark: SparkSession, folder: str) -> str:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
