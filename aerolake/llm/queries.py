@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import extraction, language, mixing, sharding, token_counts, token_files, warc
+from aerolake.llm import decontamination, extraction, language, mixing, sharding, token_counts, token_files, warc
 from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
@@ -95,6 +95,37 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Without text_crc32, which DuckDB has no function for; a test compares it.
 SHARDING_SQL = None
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.array_sort(F.transform("items", lambda i: i.cast("string"))))
+    counted = found.withColumn("n_hit", decontamination.covered(F.col("spans")))
+    return counted.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                          F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+DECONTAMINATION_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[]) AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM item_words, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(i) WHERE len(w) > 0),
+grams AS (
+  SELECT doc_id, s.size, i, array_to_string(w[i:i + s.size - 1], ' ') AS gram
+  FROM doc_words, (SELECT DISTINCT size FROM windows) s, unnest(range(1, len(w) - s.size + 2)) AS u(i)),
+matches AS (SELECT doc_id, item_id, i, g.size FROM grams g JOIN windows x ON g.size = x.size AND g.gram = x.gram),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM matches, unnest(range(i, i + size)) AS u(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM matches WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
 def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     index = token_files.write_files(token_files.encode(table(spark, sf_dir, "documents")), folder)
@@ -113,6 +144,7 @@ CATALOG = {
     "op3_html_extraction": (op3_html_extraction, None),
     "op4_warc": (op4_warc, WARC_SQL),
     "op5_sharding": (op5_sharding, SHARDING_SQL),
+    "op6_decontamination": (op6_decontamination, DECONTAMINATION_SQL),
     "op9_token_binary": (op9_token_binary, None),
     "op10_token_counts": (op10_token_counts, None),
 }
