@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import decontamination, extraction, language, mixing, sharding, token_counts, token_files, warc
+from aerolake.llm import decontamination, embeddings, extraction, jaccard, language, mixing, sharding, token_counts, token_files, warc
 from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
@@ -126,6 +126,53 @@ FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id
 """
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS gram FROM words, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS u(i)
+  WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM grams GROUP BY doc_id),
+commons AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM commons JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) d LEFT JOIN sizes s USING (doc_id)
+"""
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.join(table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+edges AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, e.y FROM reach r JOIN edges e ON r.other = e.x),
+named AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counted AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN counted ON x = vec_id
+"""
+
+
 def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     index = token_files.write_files(token_files.encode(table(spark, sf_dir, "documents")), folder)
@@ -145,6 +192,8 @@ CATALOG = {
     "op4_warc": (op4_warc, WARC_SQL),
     "op5_sharding": (op5_sharding, SHARDING_SQL),
     "op6_decontamination": (op6_decontamination, DECONTAMINATION_SQL),
+    "op7_jaccard_join": (op7_jaccard_join, JACCARD_SQL),
+    "op8_embedding_dedup": (op8_embedding_dedup, EMBEDDING_SQL),
     "op9_token_binary": (op9_token_binary, None),
     "op10_token_counts": (op10_token_counts, None),
 }
