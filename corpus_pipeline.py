@@ -1,5 +1,82 @@
+"""The training-data pipeline: five stages over ``documents``, each written and read by the next.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
+the columns of ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aerolake.llm import decontamination, jaccard, language, mixing, token_files
+from aerolake.llm.common import stored, table
+from aerolake.sources.workspace import shared_folder
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; narrow and letterless ones go.
+
+    The dictionaries are learnt from the documents' own labels, and the text alone decides.
+    """
+    found = language.identify(docs.withColumn("__text", F.col("text")), language.learn_dictionaries(docs), text="__text")
+    return found.where(~F.col("rejected")).select(*_columns(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of linked ones: that with the least doc_id; a text repeated under it stays once.
+
+    Documents without a shingle have no links and stay.
+    """
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    linked = jaccard.join(rows, key="__row", text="text", width=5, percent=80).select(F.col("__row").alias("row"), F.col("component_id").alias("group"))
+    ids = rows.select(F.col("__row").alias("row"), "doc_id").join(linked, "row")
+    # Null ids come last; equal ids are told apart by the row.
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = stored(ids.groupBy("group").agg(first).select(F.col("first.row").alias("__row")), "kept-rows")
+    return rows.join(kept, "__row", "left_semi").select(*_columns(docs))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("__key"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__key")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(hit, same, "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents, each as often as the mix takes it."""
+    return mixing.mix(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: one row per copy of a document."""
+    folder = shared_folder(spark, "pipeline-tokens")
+    index = token_files.write_files(token_files.encode(docs), folder)
+    return token_files.read_files(index, folder).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
+]
+
+#: Compression and tokenizing have no SQL form; a test compares the stages with brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; one row per emitted document: doc_id, start, n_tokens, ids_crc32."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
