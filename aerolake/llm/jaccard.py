@@ -17,8 +17,8 @@ distance is a metric, and the join works by pivots and regions:
   is cut into blocks by set size, pairs of blocks whose sizes cannot match are
   skipped, and in each pair the triangle inequality opens the windows: the distances
   to the region's pivot may differ by the link distance at most, and the counts of
-  shingles by class (distances to CLASSES sets that part the universe) by the largest
-  possible difference.  Sets within all windows and in different components are
+  shingles by class (distances to sets that part the universe, more of them for larger
+  sets) by the largest possible difference.  Sets within all windows and in different components are
   compared exactly.
 
 Equal sets are one class, joined once.  Sets are compared in full; hashes of 64
@@ -46,7 +46,8 @@ from aerolake.llm.shingles import Shingler, mixed
 WIDTH, PERCENT = 3, 90
 #: Shingles whose hash lies in the lowest of so many equal parts are counted and come first, rarest first.
 COUNTED_PART = 8
-CLASSES = 32
+#: A set of n shingles is counted in about n / CLASS_SIZE classes, a power of two within these bounds.
+CLASS_SIZE, MIN_CLASSES, MAX_CLASSES = 4, 32, 512
 #: Members of a block in the recursive join.
 BLOCK = 256
 
@@ -57,6 +58,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def class_counts(found: np.ndarray) -> bytes:
+    """Shingles per class, one byte each; counts above 255 are 255, which never widens a difference."""
+    classes = min(MAX_CLASSES, max(MIN_CLASSES, 1 << (len(found) // CLASS_SIZE).bit_length()))
+    return np.minimum(np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8).tobytes()
+
+
+def folded(counts: list[bytes], classes: int) -> np.ndarray:
+    """Rows of counts brought to ``classes`` classes: those with equal low bits are added up."""
+    return np.array([np.frombuffer(c, np.uint8).reshape(-1, classes).sum(axis=0, dtype=np.int32) for c in counts])
+
+
 def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Written rows: set size, two fingerprints, the shingles that can lie in the prefix, counts by class.
 
@@ -74,7 +86,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
                 marks = mixed(found)
                 rows.append((n, int(np.bitwise_xor.reduce(marks).view(np.int64)), int(marks.sum(dtype=np.uint64).view(np.int64)), counted,
                              (kept ^ np.uint64(1 << 63)).view(np.int64),
-                             np.minimum(np.bincount((found & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 65535).astype("<u2").tobytes()))
+                             class_counts(found)))
             columns = list(zip(*rows)) or [[]] * 6
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
@@ -139,9 +151,10 @@ def _windows(percent: int):
         for batch in batches:
             for row in batch.to_pylist():
                 sides = []
+                classes = min(len(x["classes"]) for side in (row["left"], row["right"]) for x in side)
                 for side in (row["left"], row["right"]):
                     table = pd.DataFrame(side)
-                    counts = np.frombuffer(b"".join(table["classes"]), "<u2").reshape(len(table), -1).astype(np.int32)
+                    counts = folded(table["classes"].tolist(), classes)
                     sides.append((table["cid"].to_numpy(), table["n"].to_numpy(), table["component"].to_numpy(),
                                   table["near"].to_numpy(), table["far"].to_numpy(), counts))
                 (id_a, n_a, c_a, near_a, far_a, k_a), (id_b, n_b, c_b, near_b, far_b, k_b) = sides
@@ -163,14 +176,19 @@ def _windows(percent: int):
     return run
 
 
-def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs (a, b) inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, classes."""
+def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs (a, b) inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes."""
     # Members by size are cut into blocks; a region's rows are numbered by their size class first, so that
     # no task sorts a region: the class is a power of 1 / t, and only neighbouring classes can link.
     strip = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9))
     rows = members.withColumn("strip", strip.cast("long"))
-    sizes = rows.groupBy("pivot", "strip").agg(F.count(F.lit(1)).alias("m"))
+    sizes = stored(rows.groupBy("pivot", "strip").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")), "strips")
+    # A strip is done if it and its neighbours lie in one component.
+    around = sizes.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("pivot", "strip")
+    sizes = stored(sizes.select("pivot", "strip", "m").join(around, ["pivot", "strip"]), "open-strips")
     rows = rows.join(sizes, ["pivot", "strip"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / block)).cast("long"))
+    rows = rows.join(counts, "cid")
     blocks = stored(rows.groupBy("pivot", "strip", "block").agg(
         F.collect_list(F.struct("cid", "n", "component", "near", "far", "classes")).alias("side"),  # about ``block`` rows
         F.min("component").alias("low"), F.max("component").alias("high")), "blocks")
@@ -218,8 +236,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     # Where sizes alone exclude a link the distance is only known to be at least 1 - smaller / larger.
     at_least = 1 - F.least("n", "n_leader") / F.greatest("n", "n_leader")
     members = members.select("pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
-    members = members.join(active.select("cid", "classes"), "cid")
-    pairs = _block_pairs(members, percent, block).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _block_pairs(members, active.select("cid", "classes"), percent, block).join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = compared(pairs, texts, width)
     links = links.unionByName(second.where(linked).select("a", "b"))
     named_by = components(links)
