@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.functions.draws import poisson_weights, salt
 
+# Rows of one task: their weighted sums are ``replicates`` rows.
+ROWS_PER_TASK = 50_000
 # Weights held at a time in a task; small enough for the processor's cache.
 WEIGHT_BLOCK = 65_536
 
@@ -27,12 +30,18 @@ def bootstrap_r2(df: DataFrame, key: Column, label: str, predictions: Mapping[st
     """
     y = F.col(label).cast("double")
     models = list(predictions)
+    complete = reduce(Column.__and__, (F.col(c).isNotNull() for c in [label, *predictions.values()]))
+    n, n_complete, mean = df.agg(F.count(F.lit(1)), F.count_if(complete), F.avg(y)).first()
+    if n != n_complete:
+        raise ValueError(f"{n - n_complete} rows without a label or prediction")
+    # Squares of a target far from zero would cancel; R2 does not depend on its mean.
+    centred = y - F.lit(mean or 0.0)
     errors = [(y - F.col(predictions[m])) for m in models]
-    rows = df.select(key.cast("long").alias("key"), y.alias("y"), (y * y).alias("yy"),
+    rows = df.select(key.cast("long").alias("key"), centred.alias("y"), (centred * centred).alias("yy"),
                      *((e * e).alias(f"se{i}") for i, e in enumerate(errors)))
-    # Few bytes but much work per row: spread the rows over all cores, whatever
+    # Few bytes but much work per row: spread the rows by their number, whatever
     # the file layout.  Keys are unique, so the spread is even.
-    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism, "key")
+    rows = rows.repartition(max(1, -(-n // ROWS_PER_TASK)), "key")
     sums = ["n", "sy", "syy", *(f"se{i}" for i in range(len(models)))]
     salts = [salt(seed, r) for r in range(replicates)]
     partial = rows.mapInArrow(_weighted_sums(salts, sums),

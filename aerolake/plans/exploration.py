@@ -64,11 +64,13 @@ def boosted_regressor(features: Sequence[str], train: DataFrame) -> list[Estimat
 
 def cross_validate(frame: DataFrame, features: Sequence[str],
                    estimators: Callable[[Sequence[str], DataFrame], list[Estimator]],
-                   metric: Callable[[DataFrame], DataFrame], scale: bool = True, k: int = FOLDS) -> DataFrame:
+                   metric: Callable[[DataFrame], DataFrame], scale: bool = True, k: int = FOLDS,
+                   parallelism: int = 1) -> DataFrame:
     """(fold, score): fit on the other folds, score on the held-out one.
 
     Scaling is learnt on the training folds only.  The fits are independent
-    distributed jobs, submitted side by side.  Each score is one aggregate, taken
+    distributed jobs, ``parallelism`` at a time; each holds its training rows in
+    executor storage.  Each score is one aggregate, taken
     right after its fit, so that only ``k`` numbers and no model are kept.
     """
     def held_out_score(fold: int) -> tuple[int, float]:
@@ -80,6 +82,6 @@ def cross_validate(frame: DataFrame, features: Sequence[str],
                                  *estimators(features, train)]).fit(train)
         return fold, metric(model.transform(held_out)).first()["score"]
 
-    with ThreadPoolExecutor(k) as pool:
+    with ThreadPoolExecutor(parallelism) as pool:
         scores = list(pool.map(held_out_score, range(k)))
     return frame.sparkSession.createDataFrame(scores, "fold int, score double")

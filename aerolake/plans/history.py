@@ -35,6 +35,7 @@ def load_history(spark: SparkSession, source: str, target_path: str, level: str
                  target: str = "DEP_DELAY", shift: int = HISTORY_SHIFT_DAYS) -> None:
     """Read all CSV files below ``source`` and write one folder per year; a year
     that was written before is replaced."""
-    rows = nan_to_null(read_csv_files(spark, source, schema.FLIGHT, "source_file", level))
+    # Files (or folders) of one name in several folders are judged each by itself.
+    rows = nan_to_null(read_csv_files(spark, source, schema.FLIGHT, "source_file", f"{level}_path"))
     sinks.write_by_year(prepare_history(rows, "source_file", target=target, shift=shift),
                         target_path, "FL_DATE")

@@ -48,7 +48,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, recursive: bo
 
 
 def file_label(level: str = "file") -> Column:
-    """Name of the file a row came from, or of the folder holding the file."""
+    """Name of the file a row came from, or of the folder holding the file.
+
+    Names repeat across folders; ``file_path`` and ``folder_path`` are unique.
+    """
+    if level == "file_path":
+        return F.col("_metadata.file_path")
+    if level == "folder_path":
+        return F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     if level == "file":
         return F.col("_metadata.file_name")
     return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)

@@ -117,3 +117,18 @@ def test_promotion_decision(spark):
 def test_equal_replicates_are_not_promoted(spark):
     row = bootstrap.promotion_decision(replicates(spark, [0.5, 0.5], [0.5, 0.5]), "old", "new").first()
     assert row.t_stat is None and row.promote is False
+
+
+def test_r2_of_a_target_far_from_zero(spark):
+    rows = [(i, 1e8 + (i * 37 % 100) / 100, 1e8 + (i * 37 % 100) / 100 + (0.1 if i % 2 else -0.1)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, y double, p double")
+    y = np.array([r[1] for r in rows])
+    true = 1 - 0.01 / y.var()
+    found = [r.r2 for r in bootstrap.bootstrap_r2(df, F.col("id"), "y", {"m": "p"}, 50).collect()]
+    assert abs(np.mean(found) - true) < 0.005 and max(found) < 1
+
+
+def test_missing_label_is_an_error(spark):
+    df = spark.createDataFrame([(1, None, 1.0), (2, 1.0, 1.0)], "id long, y double, p double")
+    with pytest.raises(ValueError):
+        bootstrap.bootstrap_r2(df, F.col("id"), "y", {"m": "p"}, 5)

@@ -220,3 +220,13 @@ def test_stream_reads_each_file_once_and_keeps_late_rows(spark, tmp_path):
     frame.where("OP_CARRIER_FL_NUM <= 2").write.mode("append").parquet(source)
     assert run() == [0, 1, 2, 2, 3, 4, 5]
     assert run() == [0, 1, 2, 2, 3, 4, 5]
+
+
+def test_history_files_of_one_name_are_judged_each_by_itself(spark, tmp_path):
+    for year, n in ((2010, 3), (2011, 2)):
+        rows = flights_frame(spark, [flight(dt.date(year, 6, 1), number=i) for i in range(n)])
+        (tmp_path / "in" / str(year)).mkdir(parents=True)
+        rows.toPandas().to_csv(tmp_path / "in" / str(year) / "flights.csv", index=False)
+    history.load_history(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    found = spark.read.parquet(str(tmp_path / "out")).groupBy("year").count().collect()
+    assert sorted(r["count"] for r in found) == [2, 3]
