@@ -133,8 +133,10 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
                                                  ["a", "b", "common", "total"])
 
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+    # Written, so that Spark sees how few they are and moves only the texts they name.
+    pairs = stored(pairs, "pairs")
+    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")).join(pairs.select("a").distinct(), "a", "left_semi")
+    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b", "left_semi")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return stored(joined.mapInArrow(run, "a long, b long, common long, total long"), "compared")
 
