@@ -20,6 +20,10 @@ distance is a metric, and the join works by pivots and regions:
   shingles by class (distances to sets that part the universe, more of them for larger
   sets) by the largest possible difference.  Sets within all windows and in different components are
   compared exactly.
+* The recursive join has two passes.  The first takes every set in its most crowded region only and
+  compares the blocks with the region's first block, each set there with the candidate that has most
+  candidates of its own: a number of pairs linear in the sets, which makes a large group of linked
+  sets one component.  The second takes all regions and all blocks, with those components.
 
 Equal sets are one class, joined once.  Sets are compared in full; hashes of 64
 bits stand for shingles.
@@ -47,9 +51,11 @@ WIDTH, PERCENT = 3, 90
 #: Shingles whose hash lies in the lowest of so many equal parts are counted and come first, rarest first.
 COUNTED_PART = 8
 #: A set of n shingles is counted in about n / CLASS_SIZE classes, a power of two within these bounds.
-CLASS_SIZE, MIN_CLASSES, MAX_CLASSES = 4, 32, 512
+CLASS_SIZE, MIN_CLASSES, MAX_CLASSES = 1, 32, 1024
 #: Members of a block in the recursive join.
 BLOCK = 256
+#: Class counts compared at once in a task.
+COUNTS_AT_ONCE = 1 << 22
 
 SIGNATURE = "key long, text_hash long, n long, print_1 long, print_2 long, n_counted long, prefix array<long>, classes binary"
 
@@ -70,7 +76,7 @@ def folded(counts: list[bytes], classes: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """Written rows: set size, two fingerprints, the shingles that can lie in the prefix, counts by class.
+    """Written rows: a row number, set size, two fingerprints, the shingles that can lie in the prefix, counts by class.
 
     Hashes are kept with their bits shifted so that their signed order is the hash order.
     """
@@ -93,7 +99,8 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
                                              ["key", "text_hash", "n", "print_1", "print_2", "n_counted", "prefix", "classes"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, SIGNATURE), "signatures", "zstd")
+    signed = rows.mapInArrow(run, SIGNATURE).withColumn("row", F.monotonically_increasing_id())
+    return stored(signed, "signatures", "zstd")
 
 
 def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -145,8 +152,20 @@ def _size_window(a, b, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def _windows(percent: int):
-    """Task function: pairs of two blocks that lie within all windows and in different components."""
+def _to_busiest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join each node with its partner of most partners: one per node at most."""
+    _, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    partners, others = np.bincount(ends), np.concatenate([ends[len(a):], ends[:len(a)]])
+    order = np.lexsort((others, partners[others], ends))
+    last = np.append(ends[order][1:] != ends[order][:-1], True)
+    return np.unique(order[last] % len(a))
+
+
+def _windows(percent: int, busiest: bool):
+    """Task function: pairs of two blocks that lie within all windows and in different components.
+
+    ``busiest`` keeps of these one pair a member, that with the busiest partner.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = percent / 100
@@ -169,17 +188,24 @@ def _windows(percent: int):
                 if row["same"]:
                     ok &= id_a[:, None] < id_b
                 i, j = np.nonzero(ok)
-                for at in range(0, len(i), 1 << 16):
-                    x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-                    keep = np.abs(k_a[x] - k_b[y]).sum(axis=1) <= most[x, y]
-                    a, b = id_a[x[keep]], id_b[y[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                step = max(1, COUNTS_AT_ONCE // classes)
+                keep = np.concatenate([np.zeros(0, bool)] + [
+                    np.abs(k_a[i[at:at + step]] - k_b[j[at:at + step]]).sum(axis=1) <= most[i[at:at + step], j[at:at + step]]
+                    for at in range(0, len(i), step)])
+                a, b = id_a[i[keep]], id_b[j[keep]]
+                if busiest and len(a):
+                    chosen = _to_busiest(a, b)
+                    a, b = a[chosen], b[chosen]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
 
-def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs (a, b) inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes."""
+def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int, busiest: bool) -> DataFrame:
+    """Pairs (a, b) inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes.
+
+    ``busiest`` compares all blocks with the first one only and keeps one pair a member.
+    """
     # Members by size are cut into blocks; a region's rows are numbered by their size class first, so that
     # no task sorts a region: the class is a power of 1 / t, and only neighbouring classes can link.
     strip = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9))
@@ -194,21 +220,21 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
     blocks = stored(rows.groupBy("pivot", "strip", "block").agg(
         F.collect_list(F.struct("cid", "n", "component", "near", "far", "classes")).alias("side"),  # about ``block`` rows
         F.min("component").alias("low"), F.max("component").alias("high")), "blocks")
-    left = blocks.select("pivot", F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"), F.col("strip").alias("own"),
+    first_blocks = blocks.where("block = 0") if busiest else blocks
+    left = first_blocks.select("pivot", F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"), F.col("strip").alias("own"),
                          F.col("block").alias("block_a"), F.col("side").alias("left"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
     right = blocks.select("pivot", "strip", F.col("block").alias("block_b"), F.col("side").alias("right"), "low", "high")
     pairs = left.join(right, ["pivot", "strip"]).where(
         ((F.col("own") < F.col("strip")) | (F.col("block_a") <= F.col("block_b")))
         & ~((F.col("low") == F.col("high")) & (F.col("low_a") == F.col("low")) & (F.col("high_a") == F.col("high"))))
     pairs = pairs.select("left", "right", ((F.col("own") == F.col("strip")) & (F.col("block_a") == F.col("block_b"))).alias("same"))
-    return pairs.mapInArrow(_windows(percent), "a long, b long").distinct()
+    return pairs.mapInArrow(_windows(percent, busiest), "a long, b long").distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
          block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``key``, text_hash, n_shingles, class_id (equal sets) and component_id (its least key)."""
     signed = signatures(docs, key, text, width, percent)
-    signed = stored(signed.withColumn("row", F.monotonically_increasing_id()), "signed", "zstd")
     prints = ["n", "print_1", "print_2"]
     classes = signed.where("n > 0").groupBy(*prints).agg(F.min("key").alias("least_key"), F.min("row").alias("first_row"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -230,18 +256,26 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     named_by = components(links)
 
     # Round 2: what is left of the regions with several components, the pivot itself being done.
-    joined = sized.where("cid <> leader").join(named_by, F.col("cid") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "cid")).drop("node")
-    several = joined.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("pivot")
     distance = first.select(F.col("a").alias("leader"), F.col("b").alias("cid"), (1 - F.col("common") / F.col("total")).alias("d"))
-    members = joined.join(several, "pivot", "left_semi").join(distance, ["leader", "cid"], "left")
     # Where sizes alone exclude a link the distance is only known to be at least 1 - smaller / larger.
     at_least = 1 - F.least("n", "n_leader") / F.greatest("n", "n_leader")
-    members = members.select("pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
-    pairs = _block_pairs(members, active.select("cid", "classes"), percent, block).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = compared(pairs, texts, width)
-    links = links.unionByName(second.where(linked).select("a", "b"))
-    named_by = components(links)
+    done = first.select("a", "b")
+    for busiest in (True, False):
+        joined = sized.where("cid <> leader").join(named_by, F.col("cid") == F.col("node"), "left").withColumn(
+            "component", F.coalesce("component", "cid")).drop("node")
+        several = joined.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
+        several = stored(several.where("lo < hi").select("pivot", "m"), "open-regions")
+        members = joined.join(several, "pivot")
+        if busiest:
+            crowded = members.groupBy("cid").agg(F.max(F.struct("m", "pivot")).alias("most")).select("cid", F.col("most.pivot").alias("pivot"))
+            members = members.join(crowded, ["cid", "pivot"], "left_semi")
+        members = members.join(distance, ["leader", "cid"], "left").select(
+            "pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
+        pairs = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest).join(done, ["a", "b"], "left_anti")
+        second = compared(pairs, texts, width)
+        done = done.unionByName(second.select("a", "b"))
+        known = named_by.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        named_by = components(known.unionByName(second.where(linked).select("a", "b")))
 
     # A component is named by the least key of its classes.
     member = classes.join(named_by, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid"))
