@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
 
 
 def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Written rows (pivot, cid, n): the regions each class lies in, and only regions of two and more."""
+    """Written rows (pivot, cid, n, leader, n_leader): the regions each class lies in, and only regions of two and more."""
     owner = classes.select("cid", "first_row").hint("shuffle_hash")
     sets = signed.join(owner, signed["row"] == owner["first_row"]).select("cid", "n", "n_counted", F.posexplode("prefix").alias("place", "pivot"))
     shared = sets.groupBy("pivot").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -117,7 +117,8 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = found.withColumn("alone", alone).withColumn("order", place).where(
         ~F.col("counted") | (F.col("alone") + F.col("order") <= length)).select("pivot", "cid", "n")
     rows = stored(rows, "region-rows")
-    lively = rows.groupBy("pivot").agg(F.min("cid").alias("leader"), F.max("cid").alias("other")).where("leader < other").drop("other")
+    lively = rows.groupBy("pivot").agg(F.min(F.struct("cid", "n")).alias("first"), F.max("cid").alias("other")).where("first.cid < other")
+    lively = lively.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
     return stored(rows.join(lively, "pivot"), "regions")
 
 
@@ -248,8 +249,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     texts = stored(texts.groupBy("cid").agg(F.first("text").alias("text")), "active-texts", "zstd")  # a repeated row is one text
 
     # Round 1: every region's own pivot against its members.
-    sized = found.join(active.select(F.col("cid").alias("leader"), F.col("n").alias("n_leader")), "leader")
-    stars = sized.where((F.col("cid") != F.col("leader")) & _size_window(F.col("n"), F.col("n_leader"), percent))
+    stars = found.where((F.col("cid") != F.col("leader")) & _size_window(F.col("n"), F.col("n_leader"), percent))
     first = compared(stars.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), texts, width)
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
@@ -261,7 +261,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     at_least = 1 - F.least("n", "n_leader") / F.greatest("n", "n_leader")
     done = first.select("a", "b")
     for busiest in (True, False):
-        joined = sized.where("cid <> leader").join(named_by, F.col("cid") == F.col("node"), "left").withColumn(
+        joined = found.where("cid <> leader").join(named_by, F.col("cid") == F.col("node"), "left").withColumn(
             "component", F.coalesce("component", "cid")).drop("node")
         several = joined.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
         several = stored(several.where("lo < hi").select("pivot", "m"), "open-regions")
