@@ -125,6 +125,22 @@ def test_extraction_deletes_lines_shared_with_the_nearest_page(spark):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_extraction_differences_the_unmarked_lines_beside_an_article(spark):
+    def page(i, body):
+        return (i, f"https://h.example/news/{i}", f"<body><div>Home page</div>{body}<footer>Notice {i}</footer></body>")
+
+    pages = spark.createDataFrame(
+        [page(1, "<div>The long story.</div><article>Teaser</article>"), page(2, "<div>Another story.</div><article>Teaser</article>"),
+         page(3, "<main>A whole page</main>"), page(4, "<main>A whole page</main><div>Byline</div>")], "page_id long, url string, html string")
+    found = {r.page_id: (r.text, r.n_shared) for r in extraction.extract(pages).collect()}
+    assert found == {1: ("The long story.\nTeaser", 2), 2: ("Another story.\nTeaser", 2), 3: ("A whole page", 1), 4: ("A whole page\nByline", 2)}
+
+
+def test_extraction_pairs_every_page(spark):
+    found = extraction.extract(spark.read.parquet(f"{SF}/pages.parquet"))
+    assert found.where("n_shared > 0").count() > 0
+
+
 def test_extraction_returns_every_page(spark):
     found = Q.op3_html_extraction(spark, SF).collect()
     assert len(found) == spark.read.parquet(f"{SF}/pages.parquet").count()
