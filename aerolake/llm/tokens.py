@@ -1,9 +1,10 @@
 """Token ids of whole texts, with one vocabulary look-up per distinct chunk.
 
-Byte-level BPE never joins characters across a space that follows a character, so
-a text is cut at single spaces and each distinct chunk is encoded once by the
-tokenizers library.  Texts in which that does not hold for certain (two spaces in
-a row, a special token's string) are given to the library as they are.
+Byte-level BPE never joins characters across a space that stands between two other
+characters than white space, so a text is cut at its spaces and each distinct chunk
+is encoded once by the tokenizers library.  Texts in which that does not hold for
+certain (a space beside any white space, a special token's string) are given to the
+library as they are: a run of white space is one pre-token, whatever it is made of.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Distinct chunks a task remembers; a chunk beyond that is encoded again in each batch.
 REMEMBERED = 300_000
+#: Any white space of Unicode, and what some regular expression engines take for it.
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 _FIRST = "\x00"  # marks a text's first chunk, which no space precedes
 
 
@@ -42,7 +45,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text); a null text has none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        plain = pc.invert(pc.match_substring(texts, "  "))
+        plain = pc.invert(pc.match_substring_regex(texts, f" {_WHITE}|{_WHITE} "))
         for string in [_FIRST, *self.special]:
             plain = pc.and_(plain, pc.invert(pc.match_substring(texts, string)))
         simple = np.asarray(plain.to_numpy(zero_copy_only=False))

@@ -9,6 +9,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 from aerolake.llm import decontamination, embeddings, extraction, jaccard, language, mixing, sharding, token_counts, token_files, warc
 from aerolake.llm import queries as Q
+from aerolake.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -319,6 +321,18 @@ def test_token_files_round_trip(spark, tmp_path, edge):
     assert token_files.read_files(token_files.write_files(token_files.encode(edge.limit(0)), empty), empty).count() == 0
 
 
+def test_tokens_of_white_space_runs_equal_the_library():
+    draw = random.Random(5)
+    white = [" ", "\u00a0", "\t", "\n", "\r\n", "\u2003", "\u3000", "\x85", "\x1c"]
+    texts = ["foo" + " \u00a0" * n + "bar" for n in range(1, 10)] + ["foo \u00a0 \u00a0", " \u00a0 \u00a0", "a\t \t b \n \n", "a\r\n \r\n b", "a ", " a", None, ""]
+    texts += ["".join(draw.choice([*white, " ", "a", "foo", "é", "7", ".", "<|endoftext|>"]) for _ in range(draw.randrange(12))) for _ in range(3000)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, counts = Encoder().encode(pa.array(texts))
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 # 10: token counts
 
 @pytest.mark.parametrize("rule", token_counts.RULES)
