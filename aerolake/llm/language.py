@@ -2,7 +2,9 @@
 
 Each language has a raw-content dictionary made of its own texts.  A text is
 compressed once per dictionary; the language whose dictionary gives the smallest
-frame wins, and a narrow win is marked as rejected.
+frame wins, and a narrow win is marked as rejected.  A long text is compressed in
+pieces whose frames are added up: a dictionary saves bytes only near its use, so in
+one frame the share that it saves, and with it the margin, would fall with length.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and
 rejected; equal sizes go to the language first in code point order (and are
@@ -27,6 +29,7 @@ LEVEL = 6
 #: A frame shorter than its header and tables is stored raw and would tie; so short texts are repeated.
 SHORT_BYTES, SHORT_REPEATS = 256, 4
 MIN_MARGIN = 0.004
+PIECE_BYTES = 64 << 10
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -37,6 +40,12 @@ def letters_only(text: str) -> bytes:
     return b" ".join([plain] * SHORT_REPEATS) if len(plain) < SHORT_BYTES else plain
 
 
+def pieces(plain: bytes) -> list[bytes]:
+    """The whole text in the least number of pieces of about equal size that hold ``PIECE_BYTES`` at most."""
+    n = -(-len(plain) // PIECE_BYTES)
+    return [plain[len(plain) * i // n:len(plain) * (i + 1) // n] for i in range(n)]
+
+
 def learn_dictionaries(labelled: DataFrame, text: str = "text", label: str = "lang") -> dict[str, bytes]:
     """Dictionary content per label, from a bounded sample spread over all labelled texts.
 
@@ -65,8 +74,8 @@ def learn_dictionaries(labelled: DataFrame, text: str = "text", label: str = "la
 def predict(text: Column, dictionaries: dict[str, bytes], df: DataFrame) -> Column:
     """Struct (lang, score, margin) of each text.
 
-    ``margin`` is the gap between the two smallest frames over the second; ``score``
-    is the winner's share when frames weigh exp(-size / 2), between 0 and 1.
+    ``margin`` is the gap between the two smallest sizes over the second; ``score``
+    is the winner's share when sizes weigh exp(-size / 2), between 0 and 1.
     """
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)  # at most MAX_LANGUAGES * DICTIONARY_BYTES
 
@@ -87,7 +96,8 @@ def predict(text: Column, dictionaries: dict[str, bytes], df: DataFrame) -> Colu
                 if not plain.strip() or not names:
                     out.append((UNKNOWN, 0.0, 0.0))
                     continue
-                sizes = [len(coder.compress(plain)) for coder in coders]
+                parts = pieces(plain)
+                sizes = [sum(len(coder.compress(part)) for part in parts) for coder in coders]
                 best = min(sizes)
                 rest = sorted(sizes)
                 score = 1 / sum(math.exp((best - size) / 2) for size in sizes)

@@ -95,6 +95,36 @@ def test_language_edge_cases(spark, edge):
     assert {r.lang_pred for r in language.identify(edge, {}).collect()} == {"und"}
 
 
+def test_long_clean_texts_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    learnt = language.learn_dictionaries(docs)
+    texts = {}
+    for r in docs.dropDuplicates(["text"]).collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    joined = {lang: " ".join(found) for lang, found in texts.items()}
+    # Several MB in each language; in another order where the texts come to less.
+    long_texts = [(lang, (text + " " + " ".join(random.Random(1).sample(text.split(), len(text.split()))) * 4)[:8_000_000])
+                  for lang, text in joined.items()]
+    assert len(long_texts) == 4 and all(len(text) == 8_000_000 for _, text in long_texts)
+    found = language.identify(spark.createDataFrame(long_texts, "lang string, text string"), learnt).collect()
+    assert [(r.lang_pred, r.rejected) for r in found] == [(r.lang, False) for r in found]
+
+
+def test_long_text_of_two_languages_in_equal_parts_is_rejected(spark):
+    def words(letters, seed):
+        draw = random.Random(seed)
+        return ["".join(draw.choice(letters) for _ in range(6)) for _ in range(200)]
+
+    a, b = words("abcdefgh", 1), words("stuvwxyz", 2)
+    labelled = spark.createDataFrame([("a", " ".join(a)), ("b", " ".join(b))], "lang string, text string")
+    learnt = language.learn_dictionaries(labelled)
+    draw = random.Random(3)
+    mixed = " ".join(draw.choice(a) + " " + draw.choice(b) for _ in range(200_000))
+    clean = " ".join(draw.choice(a) for _ in range(400_000))
+    found = language.identify(spark.createDataFrame([(0, mixed), (1, clean)], "id long, text string"), learnt).orderBy("id").collect()
+    assert found[0].rejected and (found[1].lang_pred, found[1].rejected) == ("a", False)
+
+
 # 2: mixing
 
 def test_mixing_takes_whole_copies_near_the_target(spark):
