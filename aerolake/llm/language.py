@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: Bounds of the sample the dictionaries are made of.  Together they bound what reaches the driver.
-MAX_LANGUAGES, SAMPLE_BUCKETS, SAMPLE_CHARS, DICTIONARY_BYTES = 64, 160, (40, 8000), 256 << 10
+#: Bounds of the sample the dictionaries are made of, for up to LANGUAGES labels.  With more labels each gives
+#: less, so that together they still bound what reaches the driver.
+LANGUAGES, SAMPLE_BUCKETS, SAMPLE_CHARS, DICTIONARY_BYTES = 64, 160, (40, 8000), 256 << 10
 LEVEL = 6
 #: A frame shorter than its header and tables is stored raw and would tie; so short texts are repeated.
 SHORT_BYTES, SHORT_REPEATS = 256, 4
@@ -51,24 +52,27 @@ def learn_dictionaries(labelled: DataFrame, text: str = "text", label: str = "la
 
     The texts of a label fall into ``SAMPLE_BUCKETS`` buckets by hash, and the one
     with the smallest hash stands for its bucket; texts outside the usual lengths
-    come after all others and give no more than the longest usual length.  Only
-    the ``MAX_LANGUAGES`` most frequent labels are learnt.
+    come after all others and give no more than the longest usual length.  Every
+    label is learnt; beyond ``LANGUAGES`` labels each has fewer buckets, then shorter
+    texts, and a smaller dictionary.
     """
     low, high = SAMPLE_CHARS
     rows = labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).where(
         "label IS NOT NULL AND text IS NOT NULL")
-    languages = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).select("label")
+    n = max(LANGUAGES, rows.select("label").distinct().count())
+    n_buckets = max(1, SAMPLE_BUCKETS * LANGUAGES // n)
+    chars, size = (max(1, most * LANGUAGES // n) for most in (SAMPLE_BUCKETS * high, DICTIONARY_BYTES))
+    chars = min(high, chars // n_buckets)
     usual = F.when(F.length("text").between(low, high), F.lit(0)).otherwise(F.lit(1 << 62))
     rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 2) + usual)
-    buckets = (rows.groupBy("label", F.pmod("h", F.lit(SAMPLE_BUCKETS)).alias("b")).agg(F.min("h").alias("h"))
-               .join(languages, "label", "left_semi"))
-    wanted = buckets.select("label", "h").collect()  # at most MAX_LANGUAGES * SAMPLE_BUCKETS rows
+    buckets = rows.groupBy("label", F.pmod("h", F.lit(n_buckets)).alias("b")).agg(F.min("h").alias("h"))
+    wanted = buckets.select("label", "h").collect()  # at most LANGUAGES * SAMPLE_BUCKETS rows, or one a label
     chosen = labelled.sparkSession.createDataFrame(wanted, "label string, h long")
-    sample = rows.join(F.broadcast(chosen), ["label", "h"]).select("label", "h", F.substring("text", 1, high).alias("text"))
+    sample = rows.join(F.broadcast(chosen), ["label", "h"]).select("label", "h", F.substring("text", 1, chars).alias("text"))
     texts: dict[str, list[str]] = {}
     for row in sample.dropDuplicates(["label", "h"]).orderBy("label", "h").collect():
         texts.setdefault(row["label"], []).append(row["text"])
-    return {name: b" ".join(map(letters_only, found))[-DICTIONARY_BYTES:] for name, found in sorted(texts.items())}
+    return {name: b" ".join(map(letters_only, found))[-size:] for name, found in sorted(texts.items())}
 
 
 def predict(text: Column, dictionaries: dict[str, bytes], df: DataFrame) -> Column:
@@ -77,32 +81,48 @@ def predict(text: Column, dictionaries: dict[str, bytes], df: DataFrame) -> Colu
     ``margin`` is the gap between the two smallest sizes over the second; ``score``
     is the winner's share when sizes weigh exp(-size / 2), between 0 and 1.
     """
-    shared = df.sparkSession.sparkContext.broadcast(dictionaries)  # at most MAX_LANGUAGES * DICTIONARY_BYTES
+    shared = df.sparkSession.sparkContext.broadcast(dictionaries)  # at most LANGUAGES * DICTIONARY_BYTES, or one byte a label
 
     @F.pandas_udf("lang string, score double, margin double")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import math
 
-        names, coders = list(shared.value), []
-        for content in shared.value.values():
-            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(level=LEVEL)
-            coders.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_checksum=False,
-                                                   write_content_size=False, write_dict_id=False))
+        names = list(shared.value)
+        blocks = [names[i:i + LANGUAGES] for i in range(0, len(names), LANGUAGES)]
+
+        def coders(block: list[str]) -> list:
+            made = []
+            for name in block:
+                held = zstandard.ZstdCompressionDict(shared.value[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                held.precompute_compress(level=LEVEL)
+                made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_checksum=False,
+                                                     write_content_size=False, write_dict_id=False))
+            return made
+
+        # One block's coders are held at a time, and made once where there is but one block.
+        only = coders(names) if len(blocks) == 1 else None
         for batch in batches:
+            found = [(UNKNOWN, math.inf, math.inf, 0.0)] * len(batch)  # name and size of the best, second size, weight of all
+            for block in blocks:
+                held = only or coders(block)
+                for at, value in enumerate(batch):
+                    plain = letters_only(value) if value is not None else b""
+                    if not plain.strip():
+                        continue
+                    parts = pieces(plain)
+                    sizes = [sum(len(coder.compress(part)) for part in parts) for coder in held]
+                    name, best, second, weight = found[at]
+                    least, second = sorted([best, second, *sizes])[:2]
+                    if least < best:  # equal sizes stay with the earlier block
+                        name = block[sizes.index(least)]
+                    weight = weight * math.exp((least - best) / 2) + sum(math.exp((least - size) / 2) for size in sizes)
+                    found[at] = name, least, second, weight
             out = []
-            for value in batch:
-                plain = letters_only(value) if value is not None else b""
-                if not plain.strip() or not names:
+            for name, best, second, weight in found:
+                if not weight:
                     out.append((UNKNOWN, 0.0, 0.0))
-                    continue
-                parts = pieces(plain)
-                sizes = [sum(len(coder.compress(part)) for part in parts) for coder in coders]
-                best = min(sizes)
-                rest = sorted(sizes)
-                score = 1 / sum(math.exp((best - size) / 2) for size in sizes)
-                margin = (rest[1] - best) / rest[1] if len(rest) > 1 else 1.0
-                out.append((names[sizes.index(best)], score, margin))
+                else:
+                    out.append((name, 1 / weight, (second - best) / second if second < math.inf else 1.0))
             yield pd.DataFrame(out, columns=["lang", "score", "margin"])
 
     return classify(text)

@@ -125,6 +125,20 @@ def test_long_text_of_two_languages_in_equal_parts_is_rejected(spark):
     assert found[0].rejected and (found[1].lang_pred, found[1].rejected) == ("a", False)
 
 
+def test_more_labels_than_one_block_are_all_learnt(spark):
+    draw = random.Random(4)
+    names = [f"l{i:03}" for i in range(150)]
+    words = {name: ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(60)] for name in names}
+    given = [(name, " ".join(draw.choice(words[name]) for _ in range(200))) for name in names for _ in range(1 + (name < "l064"))]
+    docs = spark.createDataFrame(given, "lang string, text string")
+    learnt = language.learn_dictionaries(docs)
+    assert sorted(learnt) == names
+    assert sum(map(len, learnt.values())) <= language.LANGUAGES * language.DICTIONARY_BYTES
+    fresh = spark.createDataFrame([(name, " ".join(draw.choice(words[name]) for _ in range(100))) for name in names], "lang string, text string")
+    found = language.identify(fresh, learnt).collect()
+    assert all(r.lang_pred == r.lang and not r.rejected and 0 <= r.score <= 1 for r in found)
+
+
 # 2: mixing
 
 def test_mixing_takes_whole_copies_near_the_target(spark):
