@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.base import Estimator
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.functions.draws import add_draw
-from aerolake.functions.encoding import fit_scaler, standardize
+from aerolake.functions.encoding import fit_scaler, nan_to_null, standardize, surrogates
 
 FOLDS = 5
 
@@ -27,12 +26,10 @@ def add_fold(df: DataFrame, key: Column, k: int = FOLDS, seed: int = 42, out: st
 
 def exploration_frame(df: DataFrame, features: Sequence[str], label: str, k: int = FOLDS,
                       seed: int = 42) -> DataFrame:
-    """Complete rows with a fold number, drawn from the row's content."""
+    """Labelled rows with a fold number, drawn from the row's content; missing features stay missing."""
     rows = df.select(*(F.col(c).cast("double").alias(c) for c in features),
                      F.col(label).cast("double").alias("label"))
-    # One condition per column: a single condition over many renamed columns
-    # makes the optimizer's constraint inference exponential.
-    rows = rows.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in rows.columns)))
+    rows = nan_to_null(rows).where("label IS NOT NULL")
     return add_fold(rows, F.xxhash64(*rows.columns), k, seed)
 
 
@@ -68,13 +65,17 @@ def cross_validate(frame: DataFrame, features: Sequence[str],
                    parallelism: int = 1) -> DataFrame:
     """(fold, score): fit on the other folds, score on the held-out one.
 
-    Scaling is learnt on the training folds only.  The fits are independent
+    Fill values (means; 0 for a feature without a value) and scaling are learnt on
+    the training folds only.  The fits are independent
     distributed jobs, ``parallelism`` at a time; each holds its training rows in
     executor storage.  Each score is one aggregate, taken
     right after its fit, so that only ``k`` numbers and no model are kept.
     """
     def held_out_score(fold: int) -> tuple[int, float]:
         train, held_out = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
+        means = surrogates(train, features).first()
+        fills = {c: 0.0 if means[c] is None else means[c] for c in features}
+        train, held_out = train.fillna(fills), held_out.fillna(fills)
         if scale:
             moments = fit_scaler(train, features)
             train, held_out = standardize(train, moments), standardize(held_out, moments)

@@ -140,10 +140,10 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exploration(spark: SparkSession, sf_dir: str, label) -> tuple[DataFrame, list[str]]:
+    # A missing delay is a missing value for the regressor, which drops it, and a 0 of the classifier's label.
     flown = flights(spark, sf_dir)
     features = [c for c in encoding.numeric_columns(flown) if c != "DEP_DELAY"]
-    frame = exploration.exploration_frame(rows.drop_null_target(flown, "DEP_DELAY").withColumn("label", label),
-                                          features, "label")
+    frame = exploration.exploration_frame(flown.withColumn("label", label), features, "label")
     return frame, features
 
 

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolake import FlightConfig, schema
+from aerolake.functions import encoding
 from aerolake.plans import exploration, features, history, monitoring, scoring, training
+from aerolake.queries import modelling
 from aerolake.sources import sinks, state, tables
 from aerolake.streaming.incremental import incremental_ingest, read_ingested
 from helpers import DAY, days, flight, flights_frame
@@ -205,6 +207,34 @@ def test_cross_validation_against_brute_force(spark):
         assert score == pytest.approx(-np.abs(rows[out, 3] - rows[out, :3] @ weights).mean(), abs=1e-6)
 
 
+def test_cross_validation_fills_missing_features_in_each_fold(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(3, 1, size=(300, 2))
+    y = 2 * x[:, 0] - x[:, 1] + rng.normal(0, 0.5, 300)
+    given = [(float(a) if i % 4 else None, float(b) if i % 7 else float("nan"), None, float(v) if i % 10 else None)
+             for i, ((a, b), v) in enumerate(zip(x, y))]
+    frame = exploration.exploration_frame(
+        spark.createDataFrame(given, "a double, b double, none double, y double"), ["a", "b", "none"], "y")
+    scores = {r.fold: r.score for r in exploration.cross_validate(
+        frame, ["a", "b", "none"], exploration.standardized_linear, exploration.negative_mae).collect()}
+    rows = np.array([(r.a, r.b, 1.0, r.label, r.fold) for r in frame.collect()], dtype=float)
+    assert len(rows) == 270
+    for fold, score in scores.items():
+        out = rows[:, 4] == fold
+        filled = np.where(np.isnan(rows[:, :3]), np.nanmean(rows[~out, :3], axis=0), rows[:, :3])
+        weights = np.linalg.lstsq(filled[~out], rows[~out, 3], rcond=None)[0]
+        assert score == pytest.approx(-np.abs(rows[out, 3] - filled[out] @ weights).mean(), abs=1e-6)
+
+
+def test_exploration_queries_use_all_labelled_rows(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    flown = modelling.flights(spark, sf_dir)
+    classes = modelling._exploration(spark, sf_dir, encoding.binary_label("DEP_DELAY"))[0]
+    values = modelling._exploration(spark, sf_dir, F.col("DEP_DELAY"))[0]
+    assert classes.count() == flown.count()
+    assert values.count() == flown.where("DEP_DELAY IS NOT NULL").count() < flown.count()
+
+
 def test_stream_reads_each_file_once_and_keeps_late_rows(spark, tmp_path):
     source, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
     frame = flights_frame(spark, [flight(d, number=i) for i, d in enumerate(days(6))] + [flight(arr=None, number=99)])
