@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import decontamination, embeddings, extraction, jaccard, language, mixing, sharding, token_counts, token_files, warc
+from aerolake.llm import collocations, decontamination, embeddings, extraction, jaccard, language, mixing, sharding, token_counts, token_files, warc
 from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
@@ -185,6 +185,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "section", "start_char", "end_char", F.col("tokens").cast("long").alias("n_tokens"), "n_crossing")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*)::BIGINT AS f
+  FROM words, unnest(range(1, 5)) AS s(m), unnest(range(1, len(w) - m + 2)) AS u(i) GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cand c, unnest(range(1, c.m)) AS t(k)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS around
+  FROM cand, unnest(range(2, m)) AS t(s), unnest(range(1, m - s + 2)) AS u(i) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE i.around IS NULL OR 100 * i.around::HUGEINT < 80 * b.a::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 CATALOG = {
     "op1_language_id": (op1_language_id, None),
     "op2_mixing": (op2_mixing, MIXING_SQL),
@@ -196,4 +225,5 @@ CATALOG = {
     "op8_embedding_dedup": (op8_embedding_dedup, EMBEDDING_SQL),
     "op9_token_binary": (op9_token_binary, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op12_collocations": (op12_collocations, COLLOCATIONS_SQL),
 }
