@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import collocations, decontamination, embeddings, extraction, jaccard, language, mixing, sharding, token_counts, token_files, warc
+from aerolake.llm import collocations, decontamination, embeddings, extraction, hard_negatives, jaccard, language, mixing, sharding, token_counts, token_files, warc
 from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
@@ -214,6 +214,32 @@ FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(rows, anchor=F.col("vec_id") % 50 == 0)
+
+
+HARD_NEGATIVES_SQL = """
+WITH points AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM points a JOIN points b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score::HUGEINT <= 100 * score::HUGEINT AND 100 * score::HUGEINT <= 95 * positive_score::HUGEINT
+QUALIFY rank <= 3
+"""
+
+
 CATALOG = {
     "op1_language_id": (op1_language_id, None),
     "op2_mixing": (op2_mixing, MIXING_SQL),
@@ -226,4 +252,5 @@ CATALOG = {
     "op9_token_binary": (op9_token_binary, None),
     "op10_token_counts": (op10_token_counts, None),
     "op12_collocations": (op12_collocations, COLLOCATIONS_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, HARD_NEGATIVES_SQL),
 }
