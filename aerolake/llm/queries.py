@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import collocations, decontamination, embeddings, extraction, hard_negatives, jaccard, language, mixing, sharding, token_counts, token_files, warc
+from aerolake.llm import collocations, decontamination, embeddings, extraction, hard_negatives, jaccard, language, mixing, quality, sharding, token_counts, token_files, warc
 from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
@@ -185,6 +185,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "section", "start_char", "end_char", F.col("tokens").cast("long").alias("n_tokens"), "n_crossing")
 
 
+QUALITY_THRESHOLD = 0.3
+
+
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id):
+        return F.coalesce(F.crc32(doc_id.cast("string")) % 5, F.lit(1)) == 0
+
+    rows = quality.described(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    model = quality.learn(rows, labels.where("quality = 1"))
+    return quality.score(rows, model).select(
+        F.col("key").alias("doc_id"), held_out(F.col("key")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
@@ -251,6 +266,7 @@ CATALOG = {
     "op8_embedding_dedup": (op8_embedding_dedup, EMBEDDING_SQL),
     "op9_token_binary": (op9_token_binary, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_quality_classifier": (op11_quality_classifier, None),
     "op12_collocations": (op12_collocations, COLLOCATIONS_SQL),
     "op13_hard_negatives": (op13_hard_negatives, HARD_NEGATIVES_SQL),
 }
