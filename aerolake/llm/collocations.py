@@ -5,13 +5,13 @@ words at blanks and tabs.  Phrases are runs of 1 to ``MAX_WORDS`` words of a pie
 
 * Prefix polynomials over a block's bytes give every word's hash as a difference of
   two of them; the hash of a phrase follows from those of its words and their
-  lengths (as if joined by one blank).  Two primes make the 62-bit fingerprint,
-  two others an independent check value.
-* Phrases are counted order by order.  A block's equal fingerprints are added up
-  with a pointer to one occurrence (text hash, start, length in bytes), and the
-  shuffle adds up the blocks.  An order takes only phrases whose two parts of one
-  word less are frequent, as told by a bit filter of ``FILTER_BITS`` bits: of fixed
-  size however much is frequent, it may let through too much, never too little.
+  lengths (as if joined by one blank).  Two bases make the 62-bit fingerprint, a
+  third an independent check value.
+* Phrases are counted order by order.  Equal fingerprints of some blocks are added
+  up with a pointer to one occurrence (text hash, start, length in bytes), and the
+  shuffle adds up those sums.  An order takes only phrases whose two parts of one
+  word less are frequent, as told by a bit filter of ``FILTER_BITS`` bits an order: of
+  fixed size however much is frequent, it may let through too much, never too little.
 * Collisions: all occurrences of a fingerprint must agree in the check value.  Those
   of fingerprints that do not are counted again by their text.
 * Only frequent phrases become text, read at their pointer; no pass moves any text
@@ -39,11 +39,12 @@ from aerolake.llm.shingles import mixed
 
 MAX_WORDS, MIN_COUNT, TOP, ABSORBED = 4, 30, 2000, 80
 SCALE = 2_000_000
-#: Largest primes below 2^31 (two make the fingerprint, two the check value) and their bases.
-PRIMES = ((2147483647, 1000003), (2147483629, 998244353)), ((2147483587, 1664525), (2147483579, 69069069))
+#: The modulus, and the bases of the fingerprint and of the check value.
+PRIME = (1 << 31) - 1
+BASES = (1000003, 998244353), (69069069,)
 FILTER_BITS = 1 << 26
-#: Bytes of text hashed at once; a longer text is cut between two pieces.
-BLOCK_BYTES = 1 << 20
+#: Bytes of text hashed at once (a longer text is cut between two pieces), and phrases added up at once.
+BLOCK_BYTES, SUMMED = 1 << 18, 1 << 20
 #: Top lists are first cut within so many parts of a language.
 PARTS = 64
 
@@ -54,48 +55,59 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\v\f\r")] = 2
 
-COUNTED = "print long, count long, check long, text_hash long, start long, size int"
+COUNTED = "print long, count long, low long, high long, text_hash long, span long"
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo PRIME: 2^31 is 1 there, so the upper bits are added to the lower ones."""
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    x = (x & p) + (x >> bits)
+    x = (x & p) + (x >> bits)
+    return np.where(x >= p, x - p, x)
 
 
 class Hasher:
-    """Hashes of the words of a block and of their runs, modulo each of some primes."""
+    """Hashes of the words of a block and of their runs, for each of some bases."""
 
-    def __init__(self, primes):
-        self.primes = [(np.uint64(p), np.uint64(x), int(pow(x, -1, p))) for p, x in primes]
-        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in primes]
+    def __init__(self, bases, prime: int = PRIME):
+        self.prime, self.bases = prime, bases
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in bases]
+
+    def _mod(self, x: np.ndarray) -> np.ndarray:
+        return _reduced(x) if self.prime == PRIME else x % np.uint64(self.prime)
 
     def _grow(self, n: int) -> None:
-        for at, (p, x, inverse) in enumerate(self.primes):
+        for at, x in enumerate(self.bases):
             have, back = self.powers[at]
             while len(have) < n:  # the table doubles: x^(m+i) = x^m x^i
-                step, step_back = pow(int(x), len(have), int(p)), pow(inverse, len(back), int(p))
-                have = np.concatenate([have, have * np.uint64(step) % p])
-                back = np.concatenate([back, back * np.uint64(step_back) % p])
+                step, step_back = pow(x, len(have), self.prime), pow(x, -len(have), self.prime)
+                have = np.concatenate([have, self._mod(have * np.uint64(step))])
+                back = np.concatenate([back, self._mod(back * np.uint64(step_back))])
             self.powers[at] = have, back
 
     def words(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
-        """Per prime the hash of each span [first, last) of ``data``."""
+        """Per base the hash of each span [first, last) of ``data``."""
         self._grow(len(data) + 2)
+        wide = data.astype(np.uint64) + np.uint64(1)
         out = []
-        for (p, _, _), (powers, back) in zip(self.primes, self.powers):
-            # Terms are below 2^31, so the sums of a block are exact.
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)] % p)])
-            out.append((sums[last] - sums[first]) % p * back[first] % p)
+        for powers, back in self.powers:
+            terms = wide * powers[:len(data)]
+            if len(data) >= 1 << 24:  # below, sums of unreduced terms (under 2^39) are exact
+                terms = self._mod(terms)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+            out.append(self._mod(self._mod(sums[last] - sums[first]) * back[first]))
         return out
 
-    def longer(self, words: list[np.ndarray], sizes: np.ndarray, rest: list[np.ndarray]) -> list[np.ndarray]:
-        """Hashes of word i, a blank and the run of hash rest[i + 1], for every i that has one."""
-        n = max(0, len(rest[0]) - 1)
-        return [(word[:n] + powers[sizes[:n]] * ((np.uint64(33) + x * tail[1:]) % p)) % p
-                for (p, x, _), (powers, _), word, tail in zip(self.primes, self.powers, words, rest)]
-
-
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
-    """One 64-bit value of the hashes by prime."""
-    out = np.zeros(len(parts[0]), np.uint64)
-    for part in parts:
-        out = (out << np.uint64(31)) ^ part
-    return out
+    def runs(self, words: list[np.ndarray], sizes: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+        """One 64-bit value for the run of ``order`` words from each word of ``at``, as if joined by blanks."""
+        value = np.zeros(len(at), np.uint64)
+        for word, x, (powers, _) in zip(words, self.bases, self.powers):
+            found = word[at + order - 1]
+            for k in range(order - 2, -1, -1):
+                tail = self._mod(np.uint64(33) + np.uint64(x) * found)
+                found = self._mod(word[at + k] + self._mod(powers[sizes[at + k]] * tail))
+            value = (value << np.uint64(31)) ^ found
+        return value
 
 
 def _places(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,29 +170,26 @@ def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, last, run, np.cumsum(kind == 2)[first] + run
 
 
-def _phrases(block, order: int, hasher: Hasher, checker: Hasher, languages: np.ndarray, held: np.ndarray | None):
-    """(fingerprint, check, first byte, byte after, run) of the runs of ``order`` words that can be frequent."""
+def _phrases(block, order: int, hasher: Hasher, checker: Hasher, languages: np.ndarray, held: list[np.ndarray]):
+    """(fingerprint, check, first byte, byte after, run) of the runs of ``order`` words that can be frequent.
+
+    ``held`` has the filters of the orders 1, 2, ... below.
+    """
     data, bounds, number, _ = block
     first, last, run, piece = _words(data, bounds)
     salt = languages[number][run]
-    if not len(first):
-        return None
-    if order == 0:  # the empty phrase stands once at every word
-        return mixed(salt), mixed(~salt), first, first, run
-    size, out = last - first, []
-    for source in (hasher, checker):
-        words = found = source.words(data, first, last)
-        for n in range(2, order + 1):
-            shorter, found = found, source.longer(words, size, found)
-        out.append(_joined(found))
-        if source is hasher:
-            n = len(out[0])
-            ok = piece[:n] == piece[order - 1:]
-            if held is not None and order > 1:
-                parts = _passes(held, mixed(_joined(shorter) ^ salt[:len(shorter[0])]))
-                ok &= parts[:n] & parts[1:n + 1]
-    at = np.flatnonzero(ok)
-    return mixed(out[0][at] ^ salt[at]), mixed(out[1][at] ^ ~salt[at]), first[at], last[at + order - 1], run[at]
+    words, size = hasher.words(data, first, last), last - first
+    at = np.arange(len(first))
+    for n in range(1, order):
+        if n <= len(held):
+            at = at[_passes(held[n - 1], mixed(hasher.runs(words, size, at, n) ^ salt[at]))]
+        # The next order begins where both this run and the one a word on are frequent, in one piece.
+        follows = np.zeros(len(first) + 1, bool)
+        follows[at] = True
+        at = at[follows[at + 1]]
+        at = at[piece[at] == piece[at + n]]
+    return (mixed(hasher.runs(words, size, at, order) ^ salt[at]),
+            mixed(checker.runs(checker.words(data, first, last), size, at, order) ^ ~salt[at]), first[at], last[at + order - 1], run[at])
 
 
 def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -190,41 +199,54 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(text.alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), F.xxhash64(lang, text).alias("text_hash"))
 
 
-def count_phrases(rows: DataFrame, order: int, frequent: DataFrame | None, primes=PRIMES, min_count: int = MIN_COUNT, bits: int = FILTER_BITS) -> DataFrame:
+def count_phrases(rows: DataFrame, order: int, filters: list = (), bases=BASES, prime: int = PRIME, min_count: int = MIN_COUNT) -> DataFrame:
     """Written rows (print, count, clash, text_hash, start, size): the fingerprints of ``order`` words found ``min_count`` times.
 
-    ``frequent`` has those of one word less.  ``clash`` marks fingerprints of several phrases.
+    Order 1 has the empty phrase of every language as well, which stands once at every word.
+
+    ``filters`` has the broadcast filters of the orders below.  ``clash`` marks fingerprints of several phrases.
     """
-    held = _filter(frequent, bits) if frequent is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, checker, keep = Hasher(primes[0]), Hasher(primes[1]), held.value if held else None
+        hasher, checker, held = Hasher(bases[0], prime), Hasher(bases[1]), [f.value for f in filters]
+        waiting, n = [], 0
+
+        def summed() -> pa.RecordBatch:
+            prints, checks, hashes, spans = (np.concatenate(x) for x in zip(*waiting))
+            by = np.argsort(prints)  # equal fingerprints side by side
+            prints, checks = prints[by], checks[by].view(np.int64)  # signed, as Spark compares them
+            heads = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
+            one = by[heads]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(prints[heads].view(np.int64)), pa.array(np.diff(np.append(heads, len(by)))),
+                 pa.array(np.minimum.reduceat(checks, heads)), pa.array(np.maximum.reduceat(checks, heads)),
+                 pa.array(hashes[one].view(np.int64)), pa.array(spans[one])], ["print", "count", "low", "high", "text_hash", "span"])
+
         for batch in batches:
             texts = pa.concat_arrays([batch.column(0).cast(pa.large_string())])
-            languages, hashes = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)).view(np.uint64) for i in (2, 3))
+            languages, hashes = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)).view(np.uint64) for i in (1, 2))
             for block in blocks(texts):
-                found = _phrases(block, order, hasher, checker, languages, keep)
-                if found is None or not len(found[0]):
-                    continue
-                prints, checks, first, last, of_run = found
-                # Equal fingerprints side by side, by check value: a pair of both is one row.
-                by = np.lexsort((checks, prints)) if order else np.argsort(prints, kind="stable")
-                head = np.ones(len(by), bool)
-                head[1:] = (prints[by][1:] != prints[by][:-1]) | (checks[by][1:] != checks[by][:-1])
-                heads = np.flatnonzero(head)
-                one = by[heads]
-                number, place = block[2][of_run[one]], block[3][of_run[one]] - block[1][of_run[one]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints[one].view(np.int64)), pa.array(np.diff(np.append(heads, len(by)))), pa.array(checks[one].view(np.int64)),
-                     pa.array(hashes[number].view(np.int64)), pa.array((first[one] + place).astype(np.int64)),
-                     pa.array((last[one] - first[one]).astype(np.int32))], ["print", "count", "check", "text_hash", "start", "size"])
-
-    counted = rows.select("text", "lang", "lang_hash", "text_hash").mapInArrow(run, COUNTED).groupBy("print").agg(
-        F.sum("count").alias("count"), F.min("check").alias("low"), F.max("check").alias("high"),
-        F.min(F.struct("text_hash", "start", "size")).alias("pointer"))
-    # The empty phrase is every language's number of words, however small.
-    counted = counted.where(F.col("count") >= (min_count if order else 0))
-    return stored(counted.select("print", "count", (F.col("low") != F.col("high")).alias("clash"), "pointer.*"), f"phrases-{order}", "zstd")
+                prints, checks, first, last, of_run = _phrases(block, order, hasher, checker, languages, held)
+                of_text, span = block[2][of_run], (first - block[1][of_run] + block[3][of_run]) << 31 | last - first
+                if len(prints):
+                    waiting.append((prints, checks, hashes[of_text], span))
+                    n += len(prints)
+                    if order == 1:
+                        empty = mixed(languages[of_text] ^ np.uint64(1 << 63))  # no phrase of the language has this bit
+                        waiting.append((empty, empty, hashes[of_text], np.zeros(len(span), np.int64)))
+                if n >= SUMMED:
+                    yield summed()
+                    waiting, n = [], 0
+        if waiting:
+            yield summed()
+
+    counted = rows.select("text", "lang_hash", "text_hash").mapInArrow(run, COUNTED).groupBy("print").agg(
+        F.sum("count").alias("count"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("text_hash").alias("text_hash"), F.min_by("span", "text_hash").alias("span"))
+    # The empty phrase is a language's number of words and stays, however small.
+    counted = counted.where((F.col("count") >= min_count) | (F.col("span") == 0))
+    return stored(counted.select("print", "count", (F.col("low") != F.col("high")).alias("clash"), "text_hash",
+                                 F.shiftright("span", 31).alias("start"), F.col("span").bitwiseAND(F.lit((1 << 31) - 1)).alias("size")), f"phrases-{order}", "zstd")
 
 
 def _filter(prints: DataFrame, bits: int):
@@ -233,7 +255,7 @@ def _filter(prints: DataFrame, bits: int):
     places = F.explode(F.array(F.col("print").bitwiseAND(mask), F.shiftrightunsigned("print", 32).bitwiseAND(mask))).alias("place")
     words = prints.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("held")).toArrow()  # bits / 64 rows at most
-    held = np.zeros(bits // 64, np.uint64)
+    held = np.zeros(-(-bits // 64), np.uint64)
     held[words.column("word").to_numpy()] = words.column("held").to_numpy().view(np.uint64)
     return prints.sparkSession.sparkContext.broadcast(held)
 
@@ -270,19 +292,17 @@ def _read_pointers(rows: DataFrame, found: DataFrame, bits: int) -> DataFrame:
         cut, "print long, count long, clash boolean, lang string, phrase string")
 
 
-def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, primes, min_count: int, bits: int) -> DataFrame:
+def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, bases, prime: int, min_count: int, bits: int) -> DataFrame:
     """(lang, phrase, f) of all phrases whose fingerprints clash, counted by their text."""
     wanted = _filter(clashing, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, checker = Hasher(primes[0]), Hasher(primes[1])
+        hasher, checker = Hasher(bases[0], prime), Hasher(bases[1])
         for batch in batches:
             texts = pa.concat_arrays([batch.column(0).cast(pa.large_string())])
             languages = np.asarray(batch.column(2).to_numpy(zero_copy_only=False)).view(np.uint64)
             for block in blocks(texts):
-                found = _phrases(block, order, hasher, checker, languages, None)
-                if found is None:
-                    continue
+                found = _phrases(block, order, hasher, checker, languages, [])
                 at = np.flatnonzero(_passes(wanted.value, found[0]))
                 spans = [bytes(block[0][a:b]).replace(b"\t", b" ").split(b" ") for a, b in zip(found[2][at].tolist(), found[3][at].tolist())]
                 yield pa.RecordBatch.from_arrays(
@@ -294,16 +314,22 @@ def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, primes, m
         clashing.select("print"), "print", "left_semi").select("lang", "phrase", "f")
 
 
-def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, primes=PRIMES, bits: int = FILTER_BITS) -> DataFrame:
-    """Written rows (lang, phrase, f) of the phrases of 0 to ``MAX_WORDS`` words found ``min_count`` times; the empty one gives the number of words."""
+def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, bases=BASES, prime: int = PRIME,
+                     bits: int = FILTER_BITS) -> DataFrame:
+    """Written rows (lang, phrase, f) of the phrases of 0 to ``MAX_WORDS`` words found ``min_count`` times; the empty one gives the number of words.
+
+    ``prime`` and the first of ``bases`` make the fingerprint.
+    """
     rows = _rows(docs, text, lang)
-    levels, again = [], []
-    for order in range(MAX_WORDS + 1):
-        level = count_phrases(rows, order, levels[-1] if order > 1 else None, primes, min_count, bits)
+    levels, filters, again = [], [], []
+    for order in range(1, MAX_WORDS + 1):
+        level = count_phrases(rows, order, filters, bases, prime, min_count)
         levels.append(level)
+        if order < MAX_WORDS:
+            filters.append(_filter(level, bits))
         clashing = level.where("clash").select("print")
-        if order and not clashing.isEmpty():
-            again.append(_counted_by_text(rows, clashing, order, primes, min_count, bits))
+        if not clashing.isEmpty():
+            again.append(_counted_by_text(rows, clashing, order, bases, prime, min_count, bits))
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)

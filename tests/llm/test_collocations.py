@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from aerolake.llm import collocations
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Tiny primes: 77 fingerprints a language for all phrases; the check value tells them apart.
-WEAK = ((11, 3), (7, 5)), collocations.PRIMES[1]
+#: A tiny modulus: 121 fingerprints a language for all phrases; the check value tells them apart.
+WEAK = {"prime": 11, "bases": ((3, 7), collocations.BASES[1])}
 
 
 def plain_counts(rows):
@@ -81,8 +81,8 @@ def test_equals_plain_python(spark, texts):
 def test_colliding_fingerprints_are_told_apart_by_text(spark, texts):
     want = plain(texts, 5, 50)
     rows = collocations._rows(frame(spark, texts), "text", "lang")
-    assert collocations.count_phrases(rows, 2, None, WEAK, 5).where("clash").count() > 50
-    assert mined(spark, texts, 5, 50, primes=WEAK) == want
+    assert collocations.count_phrases(rows, 2, min_count=5, **WEAK).where("clash").count() > 50
+    assert mined(spark, texts, 5, 50, **WEAK) == want
 
 
 def test_a_full_filter_only_lets_more_through(spark, texts):
