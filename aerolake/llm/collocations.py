@@ -44,7 +44,9 @@ PRIME = (1 << 31) - 1
 BASES = (1000003, 998244353), (69069069,)
 FILTER_BITS = 1 << 26
 #: Bytes of text hashed at once (a longer text is cut between two pieces), and phrases added up at once.
-BLOCK_BYTES, SUMMED = 1 << 18, 1 << 20
+BLOCK_BYTES, SUMMED = 1 << 18, 1 << 19
+#: Rows handed to Spark at once.
+BATCH_ROWS = 1 << 16
 #: Top lists are first cut within so many parts of a language.
 PARTS = 64
 
@@ -55,7 +57,7 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\v\f\r")] = 2
 
-COUNTED = "print long, count long, low long, high long, text_hash long, span long"
+COUNTED = "print long, count int, check int, text_hash long, span long"
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -189,7 +191,8 @@ def _phrases(block, order: int, hasher: Hasher, checker: Hasher, languages: np.n
         at = at[follows[at + 1]]
         at = at[piece[at] == piece[at + n]]
     return (mixed(hasher.runs(words, size, at, order) ^ salt[at]),
-            mixed(checker.runs(checker.words(data, first, last), size, at, order) ^ ~salt[at]), first[at], last[at + order - 1], run[at])
+            (checker.runs(checker.words(data, first, last), size, at, order) ^ (salt[at] >> np.uint64(33))).astype(np.int32),
+            first[at], last[at + order - 1], run[at])
 
 
 def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -211,19 +214,25 @@ def count_phrases(rows: DataFrame, order: int, filters: list = (), bases=BASES,
         hasher, checker, held = Hasher(bases[0], prime), Hasher(bases[1]), [f.value for f in filters]
         waiting, n = [], 0
 
-        def summed() -> pa.RecordBatch:
+        def summed() -> Iterator[pa.RecordBatch]:
             prints, checks, hashes, spans = (np.concatenate(x) for x in zip(*waiting))
-            by = np.argsort(prints)  # equal fingerprints side by side
-            prints, checks = prints[by], checks[by].view(np.int64)  # signed, as Spark compares them
-            heads = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
-            one = by[heads]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(prints[heads].view(np.int64)), pa.array(np.diff(np.append(heads, len(by)))),
-                 pa.array(np.minimum.reduceat(checks, heads)), pa.array(np.maximum.reduceat(checks, heads)),
-                 pa.array(hashes[one].view(np.int64)), pa.array(spans[one])], ["print", "count", "low", "high", "text_hash", "span"])
+            waiting.clear()
+            by = np.argsort(prints)
+            same = prints[by][1:] == prints[by][:-1]
+            if (same & (checks[by][1:] != checks[by][:-1])).any():  # a collision, hardly ever
+                by = np.lexsort((checks, prints))
+            prints, checks = prints[by], checks[by]
+            # Equal fingerprints side by side; should they differ in the check value, each value is a row.
+            heads = np.flatnonzero(np.append(True, (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])))
+            counts, prints, checks, one = np.diff(np.append(heads, len(by))), prints[heads], checks[heads], by[heads]
+            for at in range(0, len(heads), BATCH_ROWS):
+                part = slice(at, at + BATCH_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prints[part].view(np.int64)), pa.array(counts[part].astype(np.int32)), pa.array(checks[part]),
+                     pa.array(hashes[one[part]].view(np.int64)), pa.array(spans[one[part]])], ["print", "count", "check", "text_hash", "span"])
 
         for batch in batches:
-            texts = pa.concat_arrays([batch.column(0).cast(pa.large_string())])
+            texts = batch.column(0).cast(pa.large_string())
             languages, hashes = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)).view(np.uint64) for i in (1, 2))
             for block in blocks(texts):
                 prints, checks, first, last, of_run = _phrases(block, order, hasher, checker, languages, held)
@@ -233,15 +242,15 @@ def count_phrases(rows: DataFrame, order: int, filters: list = (), bases=BASES,
                     n += len(prints)
                     if order == 1:
                         empty = mixed(languages[of_text] ^ np.uint64(1 << 63))  # no phrase of the language has this bit
-                        waiting.append((empty, empty, hashes[of_text], np.zeros(len(span), np.int64)))
+                        waiting.append((empty, np.zeros(len(span), np.int32), hashes[of_text], np.zeros(len(span), np.int64)))
                 if n >= SUMMED:
-                    yield summed()
-                    waiting, n = [], 0
+                    yield from summed()
+                    n = 0
         if waiting:
-            yield summed()
+            yield from summed()
 
     counted = rows.select("text", "lang_hash", "text_hash").mapInArrow(run, COUNTED).groupBy("print").agg(
-        F.sum("count").alias("count"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("count").alias("count"), F.min("check").alias("low"), F.max("check").alias("high"),
         F.min("text_hash").alias("text_hash"), F.min_by("span", "text_hash").alias("span"))
     # The empty phrase is a language's number of words and stays, however small.
     counted = counted.where((F.col("count") >= min_count) | (F.col("span") == 0))
@@ -299,7 +308,7 @@ def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, bases, pr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, checker = Hasher(bases[0], prime), Hasher(bases[1])
         for batch in batches:
-            texts = pa.concat_arrays([batch.column(0).cast(pa.large_string())])
+            texts = batch.column(0).cast(pa.large_string())
             languages = np.asarray(batch.column(2).to_numpy(zero_copy_only=False)).view(np.uint64)
             for block in blocks(texts):
                 found = _phrases(block, order, hasher, checker, languages, [])
