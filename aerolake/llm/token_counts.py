@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.tokens import Encoder, token_bytes
+from aerolake.llm.tokens import Encoder, slices_by_bytes, token_bytes
 
 RULES = ("start", "majority", "fraction")
 
@@ -87,8 +87,8 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", secti
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sizes_of = Encoder(tokenizer), token_bytes(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):  # keeps a slice's spans small
-                yield attribute(batch.slice(at, 1024), encoder, sizes_of)
+            for at, n in slices_by_bytes(batch.column(1)):  # keeps a slice's spans small
+                yield attribute(batch.slice(at, n), encoder, sizes_of)
 
     def attribute(batch: pa.RecordBatch, encoder: Encoder, sizes_of: np.ndarray) -> pa.RecordBatch:
         texts = batch.column(1).cast(pa.large_string())

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm.common import as_uri, stored
 from aerolake.llm.huffman import CHECKPOINT, Decoder, canonical_codes, code_lengths, pack
-from aerolake.llm.tokens import Encoder, packed
+from aerolake.llm.tokens import Encoder, packed, slices_by_bytes
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
@@ -44,16 +44,18 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = Encoder(tokenizer), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids, counts = encoder.encode(batch.column(2))
-            ends = np.cumsum(counts + 1) - 1
-            out = np.empty(len(ids) + len(counts), np.uint32)
-            is_end = np.zeros(len(out), bool)
-            is_end[ends] = True
-            out[is_end], out[~is_end] = end_id, ids
-            # Bytes of equal rank side by side: the upper ones are mostly zero.
-            data = [squeeze.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes()) for x in np.split(out, ends[:-1] + 1)] if len(counts) else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts + 1, pa.int64()), pa.array(data, pa.binary())], ["key", "tie", "n", "ids"])
+            for at, n in slices_by_bytes(batch.column(2)):
+                part = batch.slice(at, n)
+                ids, counts = encoder.encode(part.column(2))
+                ends = np.cumsum(counts + 1) - 1
+                out = np.empty(len(ids) + len(counts), np.uint32)
+                is_end = np.zeros(len(out), bool)
+                is_end[ends] = True
+                out[is_end], out[~is_end] = end_id, ids
+                # Bytes of equal rank side by side: the upper ones are mostly zero.
+                data = [squeeze.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes()) for x in np.split(out, ends[:-1] + 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(counts + 1, pa.int64()), pa.array(data, pa.binary())], ["key", "tie", "n", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("tie"), F.col(text).cast("string").alias("text"))
     return stored(rows.mapInArrow(run, "key long, tie long, n long, ids binary"), "token-ids", "none")

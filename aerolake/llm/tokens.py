@@ -10,6 +10,7 @@ library as they are: a run of white space is one pre-token, whatever it is made
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -18,6 +19,8 @@ import pyarrow.compute as pc
 
 #: Distinct chunks a task remembers; a chunk beyond that is encoded again in each batch.
 REMEMBERED = 300_000
+#: Text encoded at once: the encoder holds many times a slice's size in arrays by chunk.
+SLICE_BYTES = 2 << 20
 #: Any white space of Unicode, and what some regular expression engines take for it.
 _WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 _FIRST = "\x00"  # marks a text's first chunk, which no space precedes
@@ -29,6 +32,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def slices_by_bytes(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, number) of consecutive texts that hold ``most`` bytes together at most, or are one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield at, end - at
+        at = end
+
+
 class Encoder:
     """Encodes batches of texts with a byte-level BPE file of the tokenizers library."""
 

@@ -402,3 +402,15 @@ def test_token_counts_of_given_sections(spark):
         want[overlap.index(max(overlap)) if any(overlap) else -1] += 1
     assert {k: r.tokens for k, r in found.items()} == want
     assert found[0].name == "head"
+
+
+def test_slices_cover_all_texts_and_hold_few_bytes():
+    from aerolake.llm.tokens import slices_by_bytes
+
+    draw = random.Random(6)
+    texts = pa.array([None if draw.random() < 0.1 else "é" * draw.choice([0, 1, 40, 700]) for _ in range(500)])
+    found = list(slices_by_bytes(texts.slice(7), 1000))
+    assert [at for at, _ in found] == [0, *np.cumsum([n for _, n in found])[:-1]] and sum(n for _, n in found) == 493
+    sizes = [len((t or "").encode()) for t in texts.slice(7).to_pylist()]
+    assert all(n == 1 or sum(sizes[at:at + n]) <= 1000 for at, n in found)
+    assert list(slices_by_bytes(pa.array([], pa.string()))) == []
