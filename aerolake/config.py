@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 # The column contract of a flight row, in file order.
@@ -93,5 +94,13 @@ class FlightConfig:
     def runs_path(self) -> str:
         return f"{self.output_prefix}/state/runs"
 
+    @property
+    def ingested_path(self) -> str:
+        return f"{self.output_prefix}/ingested.parquet"
+
+    def checkpoint_path(self, source: str) -> str:
+        """The stream state of one source."""
+        return f"{self.output_prefix}/state/stream-{hashlib.sha256(source.encode()).hexdigest()[:16]}"
+
     def model_path(self, version: int) -> str:
         return f"{self.output_prefix}/models/{self.model_name}/{version}"

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from aerolake.config import FlightConfig
 from aerolake.plans import features, history, monitoring, scoring, training
+from aerolake.streaming import incremental
 
 STEPS = {
     "collect_raw_data": features.collect_raw_data,
@@ -32,8 +33,8 @@ STEPS = {
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="aerolake")
-    parser.add_argument("job", choices=[*STEPS, "score", "load_history"])
-    parser.add_argument("--input", help="files to score, or history files")
+    parser.add_argument("job", choices=[*STEPS, "score", "load_history", "ingest_features"])
+    parser.add_argument("--input", help="files to score, history files, or the folder of dropped files")
     parser.add_argument("--output", help="folder for predictions (score)")
     for field in fields(FlightConfig):
         convert = {"int": int, "float": float, "str": str}.get(str(field.type))
@@ -57,6 +58,8 @@ def main(arguments: list[str] | None = None) -> None:
         scoring.score_batch(spark, config, model, source, target)
     elif job == "load_history":
         history.load_history(spark, source, config.raw_path)
+    elif job == "ingest_features":
+        incremental.ingest_features(spark, config, source)
     else:
         STEPS[job](spark, config)
 

@@ -16,7 +16,7 @@ from aerolake.queries.scans import ROW, ROW_SQL
 from aerolake.sources import sinks, tables
 from aerolake.sources.workspace import shared_folder
 from aerolake.streaming.incremental import incremental_ingest as run_stream
-from aerolake.streaming.incremental import read_ingested
+from aerolake.streaming.incremental import ingest_features, read_ingested
 
 DEFAULTS = FlightConfig(as_of=AS_OF)
 START = first_run_lower_bound(AS_OF, DEFAULTS.max_history_days)
@@ -118,6 +118,24 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("event_date").alias("min_date"), F.max("event_date").alias("max_date"))
 
 
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights of monthly schedules (dated by their month's first day) dropped in three parts at two sources,
+    the second part sent to both, all read again by a new checkpoint: the feature table that collecting,
+    cleaning and accumulating inside the stream give."""
+    config = config_in(spark, "stream")
+    one, other = shared_folder(spark, "drops"), shared_folder(spark, "drops")
+    rows = flights(spark, sf_dir).withColumn("FL_DATE", F.trunc("FL_DATE", "month"))
+    part = F.pmod(F.col("OP_CARRIER_FL_NUM"), F.lit(3))
+    for source, sent in ((one, (0, 1)), (other, (1, 2))):
+        for n in sent:
+            rows.where(part == n).write.mode("append").parquet(source)
+        ingest_features(spark, config, source, identity="content")
+    ingest_features(spark, config, one, shared_folder(spark, "new-state"), identity="content")
+    return tables.read_parquet(spark, config.features_path).groupBy("FL_DATE").agg(
+        F.count("*").alias("row_count"), F.round(F.sum("DEP_DELAY"), 6).alias("sum_dep_delay"),
+        F.round(F.sum("ARR_DELAY"), 6).alias("sum_arr_delay"))
+
+
 def _sql(select: str, tail: str = "", table_name: str = "flights") -> str:
     return f"WITH {FLIGHTS_SQL} SELECT {select} FROM {table_name} {tail}"
 
@@ -155,6 +173,9 @@ QUERIES = {
         running AS (SELECT *, sum(n) OVER (ORDER BY FL_DATE DESC) - n AS newer FROM days)
         SELECT FL_DATE, CAST(least(n, {TRAIN_CAP} - newer) AS BIGINT) AS row_count FROM running
         WHERE newer < {TRAIN_CAP}"""),
+    "stream_features": (stream_features, _sql(
+        "CAST(date_trunc('month', FL_DATE) AS DATE) AS FL_DATE, count(*) AS row_count, round(sum(DEP_DELAY), 6) AS sum_dep_delay, "
+        "round(sum(ARR_DELAY), 6) AS sum_arr_delay", "WHERE ARR_DELAY IS NOT NULL GROUP BY 1")),
     "incremental_ingest": (incremental_ingest, """SELECT event_type, count(*) AS row_count,
         round(sum(value), 2) AS sum_value, min(CAST(ts AS DATE)) AS min_date, max(CAST(ts AS DATE)) AS max_date
         FROM events GROUP BY 1"""),

@@ -12,7 +12,7 @@ from aerolake.functions import encoding
 from aerolake.plans import exploration, features, history, monitoring, scoring, training
 from aerolake.queries import modelling
 from aerolake.sources import sinks, state, tables
-from aerolake.streaming.incremental import incremental_ingest, read_ingested
+from aerolake.streaming.incremental import incremental_ingest, ingest_features, read_ingested
 from helpers import DAY, days, flight, flights_frame
 
 TODAY = dt.date(2000, 3, 31)
@@ -252,6 +252,71 @@ def test_stream_reads_each_file_once_and_keeps_late_rows(spark, tmp_path):
     assert run() == [0, 1, 2, 2, 3, 4, 5]
 
 
+def test_a_second_source_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    one, two, table = (str(tmp_path / n) for n in ("one", "two", "out"))
+    frame = flights_frame(spark, [flight(number=i) for i in range(6)])
+
+    def run(source, checkpoint):
+        incremental_ingest(spark, source, table, str(tmp_path / checkpoint), schema.FLIGHT, "FL_DATE")
+        return sorted(r.OP_CARRIER_FL_NUM for r in read_ingested(spark, table).collect())
+
+    frame.where("OP_CARRIER_FL_NUM < 4").coalesce(1).write.parquet(one)
+    assert run(one, "a") == [0, 1, 2, 3]
+    frame.where("OP_CARRIER_FL_NUM >= 4").coalesce(1).write.parquet(two)
+    assert run(two, "b") == [0, 1, 2, 3, 4, 5]
+    # A new checkpoint reads old files again, which adds nothing.
+    assert run(one, "c") == [0, 1, 2, 3, 4, 5]
+    # One folder a day, however many batches.
+    assert len(list((tmp_path / "out").glob("FL_DATE=*"))) == 1
+
+
+@pytest.mark.parametrize("identity, want", [("path", [0, 0, 1, 1]), ("content", [0, 1])])
+def test_a_file_sent_again_under_another_name(spark, tmp_path, identity, want):
+    source, table = str(tmp_path / "in"), str(tmp_path / "out")
+    for _ in range(2):
+        flights_frame(spark, [flight(number=i, dep=None) for i in range(2)]).coalesce(1).write.mode("append").parquet(source)
+        incremental_ingest(spark, source, table, str(tmp_path / "state"), schema.FLIGHT, "FL_DATE", identity=identity)
+    assert sorted(r.OP_CARRIER_FL_NUM for r in read_ingested(spark, table).collect()) == want
+
+
+def test_a_batch_that_died_while_publishing_is_completed(spark, tmp_path):
+    source, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    flights_frame(spark, [flight(number=i) for i in range(2)]).coalesce(1).write.parquet(source)
+
+    def run(after=None):
+        incremental_ingest(spark, source, table, checkpoint, schema.FLIGHT, "FL_DATE", after=after)
+
+    def dies(days):
+        raise RuntimeError("killed")
+
+    run()
+    flights_frame(spark, [flight(number=2), flight(None, number=3)]).coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="killed"):
+        run(dies)
+    # The day had been replaced half-way: its folder is gone.
+    for old in (tmp_path / "out").glob("FL_DATE=2000-01-01/*.parquet"):
+        old.unlink()
+    seen = []
+    run(lambda days: seen.append(sorted(r.OP_CARRIER_FL_NUM for r in days.collect())))
+    assert sorted(r.OP_CARRIER_FL_NUM for r in read_ingested(spark, table).collect()) == [0, 1, 2, 3]
+    assert seen[0] == [0, 1, 2, 3] and not (tmp_path / "out__pending").exists()
+
+
+def test_features_are_prepared_inside_the_stream(spark, config, tmp_path):
+    source = str(tmp_path / "drops")
+    frame = flights_frame(spark, raw_rows(500))
+    for part in (frame.where("OP_CARRIER_FL_NUM % 2 = 0"), frame.where("OP_CARRIER_FL_NUM % 2 = 1")):
+        part.write.mode("append").parquet(source)
+        ingest_features(spark, config, source)
+    sinks.write_by_year(frame, config.raw_path, config.date_dk)
+    batch = replace(config, output_prefix=str(tmp_path / "batch"))
+    sinks.write_by_year(frame, batch.raw_path, config.date_dk)
+    features.prepare_features(spark, batch)
+    got, want = (tables.read_parquet(spark, c.features_path) for c in (config, batch))
+    assert got.exceptAll(want.select(*got.columns)).isEmpty() and got.count() == want.count()
+    assert state.get_watermark(spark, config.watermark_path, config.dataset_name) == TODAY
+
+
 def test_history_files_of_one_name_are_judged_each_by_itself(spark, tmp_path):
     for year, n in ((2010, 3), (2011, 2)):
         rows = flights_frame(spark, [flight(dt.date(year, 6, 1), number=i) for i in range(n)])
