@@ -4,13 +4,14 @@ A draw is a pure function of (row key, salt): a task that is run again gives
 the same draws, they do not depend on how rows are partitioned, and no state
 is shared between tasks.
 
-:func:`uniform32` is one draw per row as a column.  :func:`poisson_weights` is
-the many-draws-per-row form for a numpy task, with a cheaper hash.
+:func:`uniform32` is one draw per row as a column.  :func:`resample_weights` and
+:func:`block_totals` are the many-draws-per-row form for a numpy task, with a
+cheaper hash.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,38 +51,59 @@ def add_draw(df: DataFrame, key: Column, out: str, seed: int = 42) -> DataFrame:
     return df.select("*", F.explode(F.array(uniform32(key, seed))).alias(out))
 
 
-def poisson_limits() -> list[int]:
-    """32-bit limits of the Poisson(1) distribution: the weight is the number
-    of limits that are not above the draw."""
-    limits, total, k = [], 0.0, 0
-    while True:
-        total += math.exp(-1) / math.factorial(k)
-        limit = math.floor(total * 2**32)
-        if limit > MASK or (limits and limit == limits[-1]):
-            return limits
-        limits.append(limit)
-        k += 1
+def block_salt(seed: int, replicate: int, block: int) -> int:
+    """The salt of one replicate's draws in one block of rows."""
+    return mix_int(salt(seed, replicate) ^ mix_int(block))
 
 
-def poisson_weights(keys, salts):
-    """Poisson(1) weights as a (salts x keys) numpy block of 8-bit integers.
+def block_totals(sizes: Sequence[int], block: int, replicates: int, seed: int):
+    """How many of n = sum(sizes) draws with replacement fall into ``block``, for every replicate.
 
-    The key's two 32-bit halves are mixed into each salt in turn, so two keys
-    may share a draw for some salt but never for all.
+    The blocks are the leaves of a binary tree.  From the root down, a node's draws
+    are split between its halves by exact binomials, whose generator is keyed by the
+    seed and the node: whoever walks to another leaf makes the same splits, so the
+    totals of all blocks add up to n without any exchange.
     """
     import numpy as np
 
-    keys = np.asarray(keys, dtype=np.int64).view(np.uint64)
-    low = (keys & np.uint64(MASK)).astype(np.uint32)
-    high = (keys >> np.uint64(32)).astype(np.uint32)
-    draws = np.asarray(salts, dtype=np.uint32)[:, None] ^ low[None, :]
-    spare = np.empty_like(draws)
-    _mix_block(draws, spare)
-    draws ^= high
-    _mix_block(draws, spare)
-    weights = np.zeros(draws.shape, dtype=np.uint8)
-    for limit in poisson_limits():
-        weights += draws >= np.uint32(limit)
+    before = np.concatenate([[0], np.cumsum(np.asarray(sizes, dtype=np.int64))])
+    low, high = 0, len(sizes)
+    totals = np.full(replicates, before[-1], dtype=np.int64)
+    while high - low > 1:
+        middle = (low + high) // 2
+        rows = before[high] - before[low]
+        share = (before[middle] - before[low]) / rows if rows else 0.0
+        generator = np.random.Generator(np.random.Philox(key=[seed & MASK, low << 32 | high]))
+        left = generator.binomial(totals, share)
+        if block < middle:
+            totals, high = left, middle
+        else:
+            totals, low = totals - left, middle
+    return totals
+
+
+def resample_weights(rows: int, totals, salts):
+    """How often each of ``rows`` rows is drawn, as a (salts x rows) numpy block of doubles.
+
+    Draw j of a salt picks row floor(u * rows / 2**32), where u is a hash of j and the salt;
+    each salt has its own number of draws.
+    """
+    import numpy as np
+
+    totals = np.asarray(totals, dtype=np.int64)
+    weights = np.zeros((len(salts), rows))
+    if not rows or not len(totals):
+        return weights
+    most = int(totals.max())
+    places = np.arange(most, dtype=np.uint32)
+    spare = np.empty_like(places)
+    _mix_block(places, spare)
+    draws = np.empty_like(places)
+    for i, (total, start) in enumerate(zip(totals.tolist(), salts)):
+        drawn, rest = draws[:total], spare[:total]
+        np.bitwise_xor(places[:total], np.uint32(start), out=drawn)
+        _mix_block(drawn, rest)
+        weights[i] = np.bincount((drawn.astype(np.uint64) * np.uint64(rows) >> np.uint64(32)).view(np.int64), minlength=rows)
     return weights
 
 

@@ -24,7 +24,7 @@ from aerolake.sources import sinks
 from aerolake.sources.workspace import shared_folder
 
 KEYS = ("FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST")
-REPLICATES = 20
+REPLICATES = 3000
 SAMPLE_ROWS = 10_000
 
 
@@ -208,23 +208,18 @@ def _mix_sql(x: str, source: str, keep: str) -> str:
             f"(SELECT {keep}, (xor({x}, {x} >> 16) * {first}) & {draws.MASK} AS {x} FROM {source})))")
 
 
-def _draw_sql(key: str, source: str, keep: str, salt: str) -> str:
-    start = (f"(SELECT {keep}, CAST(({key}) >> 32 AS BIGINT) AS hi, "
-             f"xor(({key}) & {draws.MASK}, {salt}) AS u FROM {source})")
-    half = _mix_sql("u", start, f"{keep}, hi")
-    return _mix_sql("u", f"(SELECT {keep}, xor(u, hi) AS u FROM {half})", keep)
-
-
 @cache
 def _resample_sql() -> str:
-    salts = ", ".join(f"({r}, CAST({draws.salt(42, r)} AS BIGINT))" for r in range(REPLICATES))
-    weight = " + ".join(f"CAST(u >= {limit} AS INTEGER)" for limit in draws.poisson_limits())
-    drawn = _draw_sql("event_id", "pairs", "replicate, y, c, d", "s")
-    r2 = "1 - sum(k * (y - {0}) * (y - {0})) / (sum(k * y * y) - sum(k * y) * sum(k * y) / sum(k))"
+    """The draws of a table of one block: draw j of a replicate picks the row at place floor(u * n / 2**32)."""
+    salts = ", ".join(f"({r}, CAST({draws.block_salt(42, r, 0)} AS BIGINT))" for r in range(REPLICATES))
+    places = _mix_sql("u", "(SELECT CAST(range AS BIGINT) AS u FROM range((SELECT count(*) FROM events)))", "0 AS zero")
+    drawn = _mix_sql("u", f"(SELECT replicate, xor(u, s) AS u FROM {places}, (VALUES {salts}) AS t(replicate, s))", "replicate")
+    r2 = "1 - sum((y - {0}) * (y - {0})) / (sum(y * y) - sum(y) * sum(y) / count(*))"
     return f"""WITH noisy AS (SELECT event_id, value AS y, CAST((event_id * 37) % 41 - 20 AS DOUBLE) AS e FROM events),
-      pairs AS (SELECT event_id, y, y * 0.8 + 10 + e AS c, y * 0.8 + 10 + e * 0.98 AS d, replicate, s
-                FROM noisy, (VALUES {salts}) AS t(replicate, s)),
-      weighted AS (SELECT *, {weight} AS k FROM {drawn}),
+      placed AS (SELECT row_number() OVER (ORDER BY event_id, y) - 1 AS place, y, y * 0.8 + 10 + e AS c, y * 0.8 + 10 + e * 0.98 AS d
+                 FROM noisy),
+      weighted AS (SELECT replicate, y, c, d FROM (
+                     SELECT replicate, (u * (SELECT count(*) FROM events)) >> 32 AS place FROM {drawn}) JOIN placed USING (place)),
       resamples AS (
         SELECT replicate, 'champion' AS model, {r2.format('c')} AS r2 FROM weighted GROUP BY replicate
         UNION ALL

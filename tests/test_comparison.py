@@ -37,7 +37,7 @@ def test_metrics_of_no_rows_and_of_a_constant(spark):
 
 
 def brute_r2(rows, column, replicate, seed):
-    weights = draws.poisson_weights([r[0] for r in rows], [draws.salt(seed, replicate)])[0].astype(float)
+    weights = draws.resample_weights(len(rows), [len(rows)], [draws.block_salt(seed, replicate, 0)])[0]
     y, p = np.array([r[1] for r in rows]), np.array([r[column] for r in rows])
     mean = (weights * y).sum() / weights.sum()
     return 1 - (weights * (y - p) ** 2).sum() / (weights * (y - mean) ** 2).sum()
@@ -67,17 +67,43 @@ def test_bootstrap_of_no_rows_is_empty(spark):
 
 
 def test_bootstrap_spread_is_that_of_exact_resampling(spark):
-    """Poisson weights against drawing exactly n rows with replacement."""
+    """In one block and in several, against numpy."""
     rows, frame = scored(spark)
-    poisson = [r.r2 for r in bootstrap.bootstrap_r2(frame, F.col("id"), "y", {"m": "a"}, 1500).collect()]
+    found = {blocks: [r.r2 for r in bootstrap.bootstrap_r2(frame, F.col("id"), "y", {"m": "a"}, 1500, blocks=blocks).collect()] for blocks in (1, 7)}
     y, p = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
     rng = np.random.default_rng(42)
     exact = []
     for _ in range(1500):
         i = rng.integers(0, len(y), len(y))
         exact.append(1 - ((y[i] - p[i]) ** 2).sum() / ((y[i] - y[i].mean()) ** 2).sum())
-    assert np.mean(poisson) == pytest.approx(np.mean(exact), abs=0.003)
-    assert np.std(poisson) == pytest.approx(np.std(exact), rel=0.1)
+    for drawn in found.values():
+        assert np.mean(drawn) == pytest.approx(np.mean(exact), abs=0.003)
+        assert np.std(drawn) == pytest.approx(np.std(exact), rel=0.1)
+
+
+def test_every_resample_draws_exactly_n_rows(spark):
+    """A target of 0 or 1 and a prediction of 0: the sums of weights follow from R2 and must be whole and add up to n."""
+    rows = [(i, float(i % 2), float(i % 2 == 0)) for i in range(501)]
+    df = spark.createDataFrame(rows, "id long, y double, p double")
+    for blocks in (1, 4):
+        sums = bootstrap._weighted_sums
+        sizes = [0] * blocks
+        keyed = df.select(F.col("id").alias("key"), "y", (F.col("y") * F.col("y")).alias("yy"), F.lit(0.0).alias("se0"),
+                          F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("part"))
+        for r in keyed.groupBy("block").count().collect():
+            sizes[r["block"]] = r["count"]
+        names = ["n", "sy", "syy", "se0"]
+        found = keyed.repartitionById(blocks, F.col("block")).mapInArrow(
+            sums(sizes, 200, 1, 42, names), "replicate int, " + ", ".join(f"{c} double" for c in names))
+        assert [r["n"] for r in found.groupBy("replicate").agg(F.sum("n").alias("n")).collect()] == [501.0] * 200
+
+
+def test_blocks_and_parts_see_all_rows(spark, monkeypatch):
+    _, frame = scored(spark)
+    whole = bootstrap.bootstrap_r2(frame, F.col("id"), "y", {"m": "a"}, 20, blocks=3).collect()
+    monkeypatch.setattr(bootstrap, "TASK_DRAWS", 500)
+    parted = bootstrap.bootstrap_r2(frame.repartition(5), F.col("id"), "y", {"m": "a"}, 20, blocks=3).collect()
+    assert {(r.replicate, round(r.r2, 9)) for r in whole} == {(r.replicate, round(r.r2, 9)) for r in parted} and len(parted) == 20
 
 
 # One-sided 5% points of the t distribution.

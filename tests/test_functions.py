@@ -105,16 +105,25 @@ def test_draw_matches_the_digest(spark):
     assert got == [int(hashlib.md5(f"{k}:7".encode()).hexdigest()[:8], 16) for k in keys]
 
 
-def test_poisson_weights_have_poisson_shape():
-    weights = draws.poisson_weights(np.arange(200_000), [draws.salt(42, r) for r in range(5)])
-    for row in weights:
-        shares = np.bincount(row, minlength=6)[:6] / row.size
-        want = [math.exp(-1) / math.factorial(k) for k in range(6)]
-        assert np.allclose(shares, want, atol=0.005)
-    assert abs(np.corrcoef(weights.astype(float)) - np.eye(5)).max() < 0.01
-
-
-def test_poisson_weights_use_the_whole_key():
-    salts = [draws.salt(1, r) for r in range(50)]
-    weights = draws.poisson_weights([3, 3 + 2**32, -3], salts).T
-    assert not (weights[0] == weights[1]).all() and not (weights[0] == weights[2]).all()
+def test_block_totals_of_all_blocks_add_up_and_are_multinomial():
+    sizes, replicates = [500, 0, 1200, 300, 2000], 4000
+    totals = np.array([draws.block_totals(sizes, b, replicates, 42) for b in range(len(sizes))])
+    assert (totals.sum(axis=0) == sum(sizes)).all() and (totals >= 0).all()
+    exact = np.random.default_rng(1).multinomial(sum(sizes), np.array(sizes) / sum(sizes), replicates).T
+    assert np.allclose(totals.mean(axis=1), exact.mean(axis=1), atol=3)
+    assert np.allclose(np.cov(totals), np.cov(exact), rtol=0.12, atol=40)
+    assert (totals != [draws.block_totals(sizes, b, replicates, 43) for b in range(len(sizes))]).any()
+
+
+def test_resample_weights_are_exact_and_independent():
+    totals = [1000, 990, 0, 1010]
+    weights = draws.resample_weights(1000, totals, [draws.block_salt(42, r, 3) for r in range(4)])
+    assert weights.sum(axis=1).tolist() == totals
+    shape = np.bincount(draws.resample_weights(100_000, [100_000], [draws.block_salt(7, 0, 0)])[0].astype(int)) / 100_000
+    assert np.allclose(shape[:4], [0.3679, 0.3679, 0.1839, 0.0613], atol=0.006)
+    many = draws.resample_weights(500, [500] * 300, [draws.block_salt(42, r, 0) for r in range(300)])
+    between = np.corrcoef(many)[np.triu_indices(300, 1)]
+    assert abs(between.mean()) < 0.002 and np.abs(between).max() < 0.25
+    assert draws.resample_weights(0, [0], [1]).shape == (1, 0)
+
+
