@@ -1,22 +1,33 @@
-"""Exploratory models: k-fold scores of linear, logistic and boosted models."""
+"""Exploratory models: k-fold scores of linear, logistic and boosted models.
+
+No fold of the linear and logistic models is fitted on its own.  A pass over the rows
+adds up, per fold, what they need (products of features, gradients, Hessians), and all
+folds are solved from such sums at once.  The boosted models are Spark's, fold by fold.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from aerolake.functions.draws import add_draw
-from aerolake.functions.encoding import fit_scaler, nan_to_null, standardize, surrogates
+from aerolake.functions.encoding import nan_to_null, surrogates
+from aerolake.operators.folds import FoldSums, fold_sums
+from aerolake.sources.workspace import shared_folder
 
 FOLDS = 5
+#: The logistic fit ends when no entry of the gradient of the summed loss is above this (or 1e-12 a row).
+TOLERANCE, NEWTON_STEPS = 1e-6, 50
+#: Singular values below this share of the largest count as 0: features that add up to others get no weight of their own.
+RANK = 1e-10
 
 
 def add_fold(df: DataFrame, key: Column, k: int = FOLDS, seed: int = 42, out: str = "fold") -> DataFrame:
@@ -25,64 +36,167 @@ def add_fold(df: DataFrame, key: Column, k: int = FOLDS, seed: int = 42, out: st
 
 
 def exploration_frame(df: DataFrame, features: Sequence[str], label: str, k: int = FOLDS,
-                      seed: int = 42) -> DataFrame:
-    """Labelled rows with a fold number, drawn from the row's content; missing features stay missing."""
-    rows = df.select(*(F.col(c).cast("double").alias(c) for c in features),
-                     F.col(label).cast("double").alias("label"))
+                      seed: int = 42, key: Column | None = None) -> DataFrame:
+    """Labelled rows with a fold number, drawn from ``key`` or else the row's content; missing features stay missing.
+
+    The rows are written, so that every pass reads the same ones and none computes them anew.
+    """
+    kept = [F.col(c).cast("double").alias(c) for c in features]
+    rows = df.select(*kept, F.col(label).cast("double").alias("label"), *([] if key is None else [key.alias("_key")]))
     rows = nan_to_null(rows).where("label IS NOT NULL")
-    return add_fold(rows, F.xxhash64(*rows.columns), k, seed)
+    rows = add_fold(rows, F.xxhash64(*rows.columns) if key is None else F.col("_key"), k, seed).drop("_key")
+    path = shared_folder(df.sparkSession, "exploration")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def negative_mae(scored: DataFrame) -> DataFrame:
+def negative_mae(scored: GroupedData | DataFrame) -> DataFrame:
     return scored.agg((-F.avg(F.abs(F.col("label") - F.col("prediction")))).alias("score"))
 
 
-def accuracy(scored: DataFrame) -> DataFrame:
+def accuracy(scored: GroupedData | DataFrame) -> DataFrame:
     return scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("score"))
 
 
-def standardized_linear(features: Sequence[str], train: DataFrame) -> list[Estimator]:
-    return [LinearRegression(labelCol="label")]
+def cross_validate(frame: DataFrame, features: Sequence[str], model: Callable[[DataFrame, Sequence[str], int], DataFrame],
+                   metric: Callable[[GroupedData], DataFrame], k: int = FOLDS) -> DataFrame:
+    """(fold, score) of every fold that has rows: each is predicted by the model of the other folds.
 
+    ``model`` gives ``frame`` with the column ``prediction``; the scores are one aggregate.
+    """
+    return metric(model(frame, features, k).groupBy("fold"))
 
-def standardized_logistic(features: Sequence[str], train: DataFrame) -> list[Estimator]:
-    """Ridge penalty of weight 1 on the *sum* of losses, so 1/n on their mean."""
-    return [LogisticRegression(labelCol="label", regParam=1.0 / max(train.count(), 1),
-                               standardization=False)]
 
+def _by_fold(values: Sequence[float]) -> Column:
+    return F.element_at(F.array(*(F.lit(float(v)) for v in values)), F.col("fold") + 1)
 
-def boosted_classifier(features: Sequence[str], train: DataFrame) -> list[Estimator]:
-    return [GBTClassifier(labelCol="label", seed=42)]
 
+def _linear_term(features: Sequence[str], intercepts, weights, fills) -> Column:
+    """Intercept plus weights times features, missing ones filled, with the numbers of the row's fold."""
+    term = _by_fold(intercepts)
+    for i, c in enumerate(features):
+        term = term + _by_fold(weights[:, i]) * F.coalesce(F.col(c), _by_fold(fills[:, i]))
+    return term
 
-def boosted_regressor(features: Sequence[str], train: DataFrame) -> list[Estimator]:
-    return [GBTRegressor(labelCol="label", seed=42)]
 
+class Moments:
+    """Of each fold's training rows: fill values, deviations after filling, and products of the filled, centred features.
 
-def cross_validate(frame: DataFrame, features: Sequence[str],
-                   estimators: Callable[[Sequence[str], DataFrame], list[Estimator]],
-                   metric: Callable[[DataFrame], DataFrame], scale: bool = True, k: int = FOLDS,
-                   parallelism: int = 1) -> DataFrame:
-    """(fold, score): fit on the other folds, score on the held-out one.
+    Let v be a feature less a fixed shift, or 0 where it is missing, and p tell whether
+    it is there.  Filled with its mean d over the training rows and centred, it is
+    v - d p; so the products of all v, p, the label and 1 hold those of every fold's fill.
+    """
 
-    Fill values (means; 0 for a feature without a value) and scaling are learnt on
-    the training folds only.  The fits are independent
-    distributed jobs, ``parallelism`` at a time; each holds its training rows in
-    executor storage.  Each score is one aggregate, taken
-    right after its fit, so that only ``k`` numbers and no model are kept.
+    def __init__(self, frame: DataFrame, features: Sequence[str], k: int):
+        d = len(features)
+        means = surrogates(frame, features).first()
+        shift = np.array([0.0 if means[c] is None else means[c] for c in features])
+
+        def products(fold, label, x):
+            there = ~np.isnan(x)
+            a = np.column_stack([np.ones(len(label)), label, np.where(there, x - shift, 0.0), there])
+            return fold_sums(fold, k, lambda rows: (a[rows].T @ a[rows]).ravel())
+
+        found = FoldSums(frame, features, k).total(products, (2 + 2 * d) ** 2).reshape(k, 2 + 2 * d, 2 + 2 * d)
+        gram = found.sum(axis=0) - found
+        v, p = slice(2, 2 + d), slice(2 + d, 2 + 2 * d)
+        self.n = gram[:, 0, 0]
+        self.label_mean = gram[:, 0, 1] / np.maximum(self.n, 1)
+        there = gram[:, 0, p]
+        delta = gram[:, 0, v] / np.maximum(there, 1)
+        self.fills = shift + delta
+        vp = gram[:, v, p]
+        self.products = (gram[:, v, v] - vp * delta[:, None, :] - np.swapaxes(vp, 1, 2) * delta[:, :, None]
+                         + gram[:, p, p] * delta[:, :, None] * delta[:, None, :])
+        self.with_label = gram[:, v, 1] - delta * gram[:, p, 1]
+        deviation = np.sqrt(np.maximum(np.diagonal(self.products, axis1=1, axis2=2), 0) / np.maximum(self.n, 1)[:, None])
+        self.deviations = np.where(deviation > 0, deviation, 1.0)
+
+
+def standardized_linear(frame: DataFrame, features: Sequence[str], k: int = FOLDS) -> DataFrame:
+    """Least squares on features filled by their means, from one pass of products by fold."""
+    m = Moments(frame, features, k)
+    weights = np.zeros((k, len(features)))
+    for fold in range(k):
+        scale = m.deviations[fold]
+        solved = np.linalg.pinv(m.products[fold] / np.outer(scale, scale), rcond=RANK, hermitian=True) @ (m.with_label[fold] / scale)
+        weights[fold] = solved / scale
+    intercepts = m.label_mean - (weights * m.fills).sum(axis=1)
+    return frame.withColumn("prediction", _linear_term(features, intercepts, weights, m.fills))
+
+
+def fit_logistic(frame: DataFrame, features: Sequence[str], k: int = FOLDS) -> tuple[Moments, np.ndarray, np.ndarray]:
+    """(moments, coefficients, gradients) of the ridge logistic fits of all folds, by Newton steps.
+
+    The objective is the *sum* of the training rows' losses plus half the square of
+    the coefficients of the standardised features; the intercept (first) is free.
+    A pass gives every fold's loss, gradient and Hessian at its coefficients; a step that does
+    not lower the loss is halved and tried again.
     """
-    def held_out_score(fold: int) -> tuple[int, float]:
+    m, d = Moments(frame, features, k), len(features)
+    sums = FoldSums(frame, features, k)
+    penalty = np.append(0.0, np.ones(d))
+
+    def evaluated(w: np.ndarray):
+        def terms(fold, label, x):
+            out = np.zeros((k, 1 + (d + 1) + (d + 1) ** 2))
+            for model in range(k):
+                rows = fold != model
+                z = np.where(np.isnan(x[rows]), 0.0, (x[rows] - m.fills[model]) / m.deviations[model])
+                z = np.column_stack([np.ones(len(z)), z])
+                at, y = z @ w[model], label[rows]
+                p = 0.5 * (1 + np.tanh(at / 2))
+                out[model, 0] = (np.logaddexp(0, at) - y * at).sum()
+                out[model, 1:d + 2] = z.T @ (p - y)
+                out[model, d + 2:] = (z.T @ (z * (p * (1 - p))[:, None])).ravel()
+            return out
+
+        found = sums.total(terms, 1 + (d + 1) + (d + 1) ** 2)
+        return (found[:, 0] + (penalty * w * w).sum(axis=1) / 2, found[:, 1:d + 2] + penalty * w,
+                found[:, d + 2:].reshape(k, d + 1, d + 1) + np.diag(penalty))
+
+    w, ends = np.zeros((k, d + 1)), np.maximum(TOLERANCE, 1e-12 * m.n)
+    loss, gradient, hessian = evaluated(w)
+    for _ in range(NEWTON_STEPS):
+        if (np.abs(gradient).max(axis=1) <= ends).all():
+            break
+        move = np.array([np.linalg.pinv(h, rcond=1e-14, hermitian=True) @ g for h, g in zip(hessian, gradient)])
+        step = np.ones(k)
+        for _ in range(30):
+            moved = w - step[:, None] * move
+            found = evaluated(moved)
+            worse = found[0] > loss + 1e-9 * np.abs(loss)
+            if not worse.any():
+                break
+            step = np.where(worse, step / 2, step)
+        w, (loss, gradient, hessian) = moved, found
+    return m, w, gradient
+
+
+def standardized_logistic(frame: DataFrame, features: Sequence[str], k: int = FOLDS) -> DataFrame:
+    """Ridge logistic regression with a penalty of weight 1 on the sum of losses; predicts 0 or 1."""
+    m, w, _ = fit_logistic(frame, features, k)
+    weights = w[:, 1:] / m.deviations
+    margin = _linear_term(features, w[:, 0] - (weights * m.fills).sum(axis=1), weights, m.fills)
+    return frame.withColumn("prediction", (margin > 0).cast("double"))
+
+
+def _fitted_by_fold(frame: DataFrame, features: Sequence[str], k: int, estimator: Estimator) -> DataFrame:
+    """Each fold's rows as predicted by a model fitted on the others, missing features filled by the others' means."""
+    scored = None
+    for fold in range(k):
         train, held_out = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
         means = surrogates(train, features).first()
         fills = {c: 0.0 if means[c] is None else means[c] for c in features}
-        train, held_out = train.fillna(fills), held_out.fillna(fills)
-        if scale:
-            moments = fit_scaler(train, features)
-            train, held_out = standardize(train, moments), standardize(held_out, moments)
-        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
-                                 *estimators(features, train)]).fit(train)
-        return fold, metric(model.transform(held_out)).first()["score"]
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(held_out_score, range(k)))
-    return frame.sparkSession.createDataFrame(scores, "fold int, score double")
+        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator]).fit(train.fillna(fills))
+        found = model.transform(held_out.fillna(fills)).select(*frame.columns, "prediction")
+        scored = found if scored is None else scored.unionByName(found)
+    return scored
+
+
+def boosted_classifier(frame: DataFrame, features: Sequence[str], k: int = FOLDS) -> DataFrame:
+    return _fitted_by_fold(frame, features, k, GBTClassifier(labelCol="label", seed=42))
+
+
+def boosted_regressor(frame: DataFrame, features: Sequence[str], k: int = FOLDS) -> DataFrame:
+    return _fitted_by_fold(frame, features, k, GBTRegressor(labelCol="label", seed=42))

@@ -139,35 +139,106 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       F.round(F.sum("o_totalprice"), 2).alias("sum_price"))
 
 
+#: What a flight's fold is drawn from.
+FOLD_KEY = ("CAST(FL_DATE AS STRING)", "OP_CARRIER", "CAST(OP_CARRIER_FL_NUM AS STRING)", "ORIGIN", "DEST",
+            "CAST(CAST(CRS_DEP_TIME AS BIGINT) AS STRING)", "CAST(CAST(CRS_ARR_TIME AS BIGINT) AS STRING)")
+
+
 def _exploration(spark: SparkSession, sf_dir: str, label) -> tuple[DataFrame, list[str]]:
     # A missing delay is a missing value for the regressor, which drops it, and a 0 of the classifier's label.
     flown = flights(spark, sf_dir)
     features = [c for c in encoding.numeric_columns(flown) if c != "DEP_DELAY"]
-    frame = exploration.exploration_frame(flown.withColumn("label", label), features, "label")
-    return frame, features
+    key = F.concat_ws("|", *map(F.expr, FOLD_KEY))
+    return exploration.exploration_frame(flown.withColumn("label", label), features, "label", key=key), features
 
 
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, features = _exploration(spark, sf_dir, F.col("DEP_DELAY"))
-    return exploration.cross_validate(frame, features, exploration.standardized_linear, exploration.negative_mae)
+    scores = exploration.cross_validate(*_exploration(spark, sf_dir, F.col("DEP_DELAY")), exploration.standardized_linear, exploration.negative_mae)
+    return scores.select("fold", F.round("score", 6).alias("score"))
 
 
 def logreg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, features = _exploration(spark, sf_dir, encoding.binary_label("DEP_DELAY"))
-    return exploration.cross_validate(frame, features, exploration.standardized_logistic, exploration.accuracy)
+    scores = exploration.cross_validate(*_exploration(spark, sf_dir, encoding.binary_label("DEP_DELAY")),
+                                        exploration.standardized_logistic, exploration.accuracy)
+    return scores.select("fold", F.round("score", 6).alias("score"))
 
 
 def gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, features = _exploration(spark, sf_dir, encoding.binary_label("DEP_DELAY"))
-    classes = exploration.cross_validate(frame, features, exploration.boosted_classifier,
-                                         exploration.accuracy, scale=False)
-    frame, features = _exploration(spark, sf_dir, F.col("DEP_DELAY"))
-    values = exploration.cross_validate(frame, features, exploration.boosted_regressor,
-                                        exploration.negative_mae, scale=False)
+    classes = exploration.cross_validate(*_exploration(spark, sf_dir, encoding.binary_label("DEP_DELAY")),
+                                         exploration.boosted_classifier, exploration.accuracy)
+    values = exploration.cross_validate(*_exploration(spark, sf_dir, F.col("DEP_DELAY")), exploration.boosted_regressor, exploration.negative_mae)
     return classes.withColumn("model", F.lit("classifier")).unionByName(
         values.withColumn("model", F.lit("regressor")))
 
 
+# The numeric columns of a flight but the delay that is predicted.
+EXPLORED = ("OP_CARRIER_FL_NUM", "CRS_DEP_TIME", "DEP_TIME", "TAXI_OUT", "WHEELS_OFF", "WHEELS_ON", "TAXI_IN", "CRS_ARR_TIME", "ARR_TIME",
+            "ARR_DELAY", "CANCELLED", "DIVERTED", "CRS_ELAPSED_TIME", "ACTUAL_ELAPSED_TIME", "AIR_TIME", "DISTANCE")
+
+
+def _folded_sql(label: str, where: str) -> str:
+    """CTE ``train``: (fold, row, y, j, z) of every fold's training rows and ``test`` of its own: features
+    j = 1.. filled and standardised by the training rows, and j = 0 the constant 1."""
+    key = ", '|', ".join(e.replace("AS STRING", "AS VARCHAR") for e in FOLD_KEY)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in EXPLORED)
+    return f"""WITH {FLIGHTS_SQL},
+      labelled AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, CAST({label} AS DOUBLE) AS y, [{values}] AS x,
+               CAST(('0x' || substr(md5(concat(concat({key}), ':42')), 1, 8))::BIGINT % 5 AS INTEGER) AS own FROM flights {where}),
+      long AS (SELECT row, own, y, unnest(range(1, {len(EXPLORED) + 1})) AS j, unnest(x) AS x FROM labelled),
+      folds AS (SELECT unnest(range(5)) AS fold),
+      fills AS MATERIALIZED (SELECT fold, j, avg(x) AS m FROM long JOIN folds ON own <> fold GROUP BY ALL),
+      scales AS MATERIALIZED (SELECT fold, j, m, stddev_pop(coalesce(x, m)) AS s FROM long JOIN fills USING (j) WHERE own <> fold GROUP BY ALL),
+      packed AS MATERIALIZED (
+        SELECT fold, list(m ORDER BY j) AS m, list(CASE WHEN s > 0 THEN s ELSE 1 END ORDER BY j) AS s FROM scales GROUP BY fold),
+      wide AS MATERIALIZED (
+        SELECT fold, own = fold AS test, y, list_prepend(1.0::DOUBLE, list_transform(range(1, {len(EXPLORED) + 1}),
+          lambda j: (coalesce(x[j], m[j]) - m[j]) / s[j])) AS z FROM labelled, packed)"""
+
+
+def _solved_sql(name: str, cells: str, size: int) -> str:
+    """CTEs that solve the system ``cells`` (fold, i, j, v; i from 0 to size - 1, j = size the right side)
+    by elimination; ``name`` has (fold, w), the solution as a list."""
+    ctes, last = [f"{name}_0 AS MATERIALIZED ({cells})"], f"{name}_0"
+    for k in range(size):
+        ctes.append(f"""{name}_{k + 1} AS MATERIALIZED (
+          SELECT a.fold, a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v FROM {last} a
+          JOIN {last} p ON p.fold = a.fold AND p.i = {k} AND p.j = {k}
+          JOIN {last} c ON c.fold = a.fold AND c.i = a.i AND c.j = {k}
+          JOIN {last} r ON r.fold = a.fold AND r.i = {k} AND r.j = a.j)""")
+        last = f"{name}_{k + 1}"
+    ctes.append(f"{name} AS MATERIALIZED (SELECT fold, list(v ORDER BY i) AS w FROM {last} WHERE j = {size} GROUP BY fold)")
+    return ",\n".join(ctes)
+
+
+@cache
+def _cross_validate_sql() -> str:
+    size = len(EXPLORED) + 1
+    cells = f"""SELECT fold, i, j, sum(z[i + 1] * CASE WHEN j = {size} THEN y ELSE z[j + 1] END) AS v
+        FROM wide, range({size}) AS a(i), range({size + 1}) AS b(j) WHERE NOT test GROUP BY ALL"""
+    return f"""{_folded_sql("DEP_DELAY", "WHERE DEP_DELAY IS NOT NULL")},
+      {_solved_sql("solved", cells, size)}
+      SELECT fold, round(-avg(abs(y - list_inner_product(z, w))), 6) AS score FROM wide JOIN solved USING (fold) WHERE test GROUP BY fold"""
+
+
+@cache
+def _logreg_sql(steps: int = 7) -> str:
+    """Newton steps, each solving for its coefficients: (Z'SZ + I) w = Z'(S Z w0 + y - p)."""
+    size = len(EXPLORED) + 1
+    ctes = [_folded_sql("CASE WHEN DEP_DELAY >= 0 THEN 1 ELSE 0 END", ""),
+            f"w0 AS (SELECT fold, list_transform(range({size}), lambda i: 0.0::DOUBLE) AS w FROM folds)"]
+    for t in range(1, steps + 1):
+        ctes.append(f"""m{t} AS MATERIALIZED (SELECT fold, z, y, list_inner_product(z, w) AS a FROM wide JOIN w{t - 1} USING (fold) WHERE NOT test)""")
+        ctes.append(f"""s{t} AS MATERIALIZED (SELECT fold, z, s, s * a + y - p AS r FROM (
+          SELECT fold, z, y, a, 1 / (1 + exp(-a)) AS p, 1 / (1 + exp(-a)) * (1 - 1 / (1 + exp(-a))) AS s FROM m{t}))""")
+        cells = f"""SELECT fold, i, j, sum(z[i + 1] * CASE WHEN j = {size} THEN r ELSE s * z[j + 1] END) + CASE WHEN i = j AND i > 0 THEN 1 ELSE 0 END AS v
+          FROM s{t}, range({size}) AS a(i), range({size + 1}) AS b(j) GROUP BY fold, i, j"""
+        ctes.append(_solved_sql(f"w{t}", cells, size))
+    return ",\n".join(ctes) + f"""
+      SELECT fold, round(avg(CAST(CAST(list_inner_product(z, w) > 0 AS DOUBLE) = y AS INTEGER)), 6) AS score
+      FROM wide JOIN w{steps} USING (fold) WHERE test GROUP BY fold"""
+
+
 @cache
 def _linear_sql() -> str:
     """CTE ``scored``: every flight with its filled features and prediction ``p``."""
@@ -271,7 +342,7 @@ QUERIES = {
         ORDER BY {_ORDER_DRAW}, o_orderkey LIMIT {SAMPLE_ROWS}"""),
     "cv_folds": (cv_folds, f"""SELECT CAST({_ORDER_DRAW} % 5 AS INTEGER) AS fold, count(*) AS row_count,
         round(sum(o_totalprice), 2) AS sum_price FROM orders GROUP BY 1"""),
-    "cross_validate": (cross_validate, None),
-    "logreg_score": (logreg_score, None),
+    "cross_validate": (cross_validate, _cross_validate_sql()),
+    "logreg_score": (logreg_score, _logreg_sql()),
     "gbt_score": (gbt_score, None),
 }
