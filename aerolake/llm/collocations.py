@@ -10,8 +10,8 @@ words at blanks and tabs.  Phrases are runs of 1 to ``MAX_WORDS`` words of a pie
 * Phrases are counted order by order.  Equal fingerprints of some blocks are added
   up with a pointer to one occurrence (text hash, start, length in bytes), and the
   shuffle adds up those sums.  An order takes only phrases whose two parts of one
-  word less are frequent, as told by a bit filter of ``FILTER_BITS`` bits an order: of
-  fixed size however much is frequent, it may let through too much, never too little.
+  word less are frequent, as told by a bit filter of fixed size an order:
+   however much is frequent, it may let through too much, never too little.
 * Collisions: all occurrences of a fingerprint must agree in the check value.  Those
   of fingerprints that do not are counted again by their text.
 * Only frequent phrases become text, read at their pointer; no pass moves any text
@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import stored
+from aerolake.llm.bitfilter import BITS, bit_filter, passes
+from aerolake.llm.common import small_batches, stored
 from aerolake.llm.shingles import mixed
 
 MAX_WORDS, MIN_COUNT, TOP, ABSORBED = 4, 30, 2000, 80
@@ -42,7 +43,6 @@ SCALE = 2_000_000
 #: The modulus, and the bases of the fingerprint and of the check value.
 PRIME = (1 << 31) - 1
 BASES = (1000003, 998244353), (69069069,)
-FILTER_BITS = 1 << 26
 #: Bytes of text hashed at once (a longer text is cut between two pieces), and phrases added up at once.
 BLOCK_BYTES, SUMMED = 1 << 18, 1 << 19
 #: Rows handed to Spark at once.
@@ -112,18 +112,6 @@ class Hasher:
         return value
 
 
-def _places(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two places of each fingerprint in the filter."""
-    mask = np.uint64(bits - 1)
-    return prints & mask, (prints >> np.uint64(32)) & mask
-
-
-def _passes(held: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    one, two = _places(prints, len(held) * 64)
-    six = np.uint64(6)
-    return ((held[one >> six] >> (one & np.uint64(63))) & (held[two >> six] >> (two & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 def blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, number of the text, place in the text) of blocks that cover all texts; the two last by run of bytes.
 
@@ -184,7 +172,7 @@ def _phrases(block, order: int, hasher: Hasher, checker: Hasher, languages: np.n
     at = np.arange(len(first))
     for n in range(1, order):
         if n <= len(held):
-            at = at[_passes(held[n - 1], mixed(hasher.runs(words, size, at, n) ^ salt[at]))]
+            at = at[passes(held[n - 1], mixed(hasher.runs(words, size, at, n) ^ salt[at]))]
         # The next order begins where both this run and the one a word on are frequent, in one piece.
         follows = np.zeros(len(first) + 1, bool)
         follows[at] = True
@@ -254,29 +242,19 @@ def count_phrases(rows: DataFrame, order: int, filters: list = (), bases=BASES,
         F.min("text_hash").alias("text_hash"), F.min_by("span", "text_hash").alias("span"))
     # The empty phrase is a language's number of words and stays, however small.
     counted = counted.where((F.col("count") >= min_count) | (F.col("span") == 0))
-    return stored(counted.select("print", "count", (F.col("low") != F.col("high")).alias("clash"), "text_hash",
-                                 F.shiftright("span", 31).alias("start"), F.col("span").bitwiseAND(F.lit((1 << 31) - 1)).alias("size")), f"phrases-{order}", "zstd")
-
-
-def _filter(prints: DataFrame, bits: int):
-    """A broadcast bit filter over the fingerprints: ``bits`` bits, made by an aggregate over its 64-bit words."""
-    mask = F.lit(bits - 1)
-    places = F.explode(F.array(F.col("print").bitwiseAND(mask), F.shiftrightunsigned("print", 32).bitwiseAND(mask))).alias("place")
-    words = prints.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("held")).toArrow()  # bits / 64 rows at most
-    held = np.zeros(-(-bits // 64), np.uint64)
-    held[words.column("word").to_numpy()] = words.column("held").to_numpy().view(np.uint64)
-    return prints.sparkSession.sparkContext.broadcast(held)
+    with small_batches(rows.sparkSession):
+        return stored(counted.select("print", "count", (F.col("low") != F.col("high")).alias("clash"), "text_hash",
+                                     F.shiftright("span", 31).alias("start"), F.col("span").bitwiseAND(F.lit((1 << 31) - 1)).alias("size")), f"phrases-{order}", "zstd")
 
 
 def _read_pointers(rows: DataFrame, found: DataFrame, bits: int) -> DataFrame:
     """``found`` with lang and phrase, read from the documents pointed at (those alone are moved)."""
-    wanted = _filter(found.select(F.col("text_hash").alias("print")), bits)
+    wanted = bit_filter(found.select("text_hash"), bits)
 
     def pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = np.asarray(batch.column(2).to_numpy(zero_copy_only=False)).view(np.uint64)
-            yield batch.filter(pa.array(_passes(wanted.value, hashes)))
+            yield batch.filter(pa.array(passes(wanted.value, hashes)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["print", "count", "clash", "lang", "phrase"]
@@ -303,7 +281,7 @@ def _read_pointers(rows: DataFrame, found: DataFrame, bits: int) -> DataFrame:
 
 def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, bases, prime: int, min_count: int, bits: int) -> DataFrame:
     """(lang, phrase, f) of all phrases whose fingerprints clash, counted by their text."""
-    wanted = _filter(clashing, bits)
+    wanted = bit_filter(clashing, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, checker = Hasher(bases[0], prime), Hasher(bases[1])
@@ -312,7 +290,7 @@ def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, bases, pr
             languages = np.asarray(batch.column(2).to_numpy(zero_copy_only=False)).view(np.uint64)
             for block in blocks(texts):
                 found = _phrases(block, order, hasher, checker, languages, [])
-                at = np.flatnonzero(_passes(wanted.value, found[0]))
+                at = np.flatnonzero(passes(wanted.value, found[0]))
                 spans = [bytes(block[0][a:b]).replace(b"\t", b" ").split(b" ") for a, b in zip(found[2][at].tolist(), found[3][at].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[0][at].view(np.int64)), batch.column(1).take(pa.array(block[2][found[4][at]])),
@@ -324,7 +302,7 @@ def _counted_by_text(rows: DataFrame, clashing: DataFrame, order: int, bases, pr
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, bases=BASES, prime: int = PRIME,
-                     bits: int = FILTER_BITS) -> DataFrame:
+                     bits: int = BITS) -> DataFrame:
     """Written rows (lang, phrase, f) of the phrases of 0 to ``MAX_WORDS`` words found ``min_count`` times; the empty one gives the number of words.
 
     ``prime`` and the first of ``bases`` make the fingerprint.
@@ -335,7 +313,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mi
         level = count_phrases(rows, order, filters, bases, prime, min_count)
         levels.append(level)
         if order < MAX_WORDS:
-            filters.append(_filter(level, bits))
+            filters.append(bit_filter(level.select("print"), bits))
         clashing = level.where("clash").select("print")
         if not clashing.isEmpty():
             again.append(_counted_by_text(rows, clashing, order, bases, prime, min_count, bits))
@@ -345,7 +323,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mi
     out = _read_pointers(rows, found.where("NOT clash"), bits).select("lang", "phrase", F.col("count").alias("f"))
     for more in again:
         out = out.unionByName(more)
-    return stored(out, "frequent-phrases", "zstd")
+    with small_batches(rows.sparkSession):
+        return stored(out, "frequent-phrases", "zstd")
 
 
 def collocations(phrases: DataFrame, top: int = TOP, absorbed: int = ABSORBED) -> DataFrame:

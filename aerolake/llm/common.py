@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.sources import files
 from aerolake.sources.workspace import shared_folder
 
 
@@ -16,7 +20,30 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, and survives lost executors."""
     folder = shared_folder(df.sparkSession, label)
     df.write.option("compression", compression).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.stored_folder = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stored` returned and that all their readers have finished with."""
+    for df in tables:
+        files.remove(df.sparkSession, df.stored_folder)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What runs inside hands whole texts to Python ``rows`` at a time at most, instead of 10,000.
+
+    A batch is held by the JVM (in buffers that grow by doubling) and by Python at once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def as_uri(folder: str) -> str:

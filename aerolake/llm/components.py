@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import stored
+from aerolake.llm.common import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,9 +37,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = stored(links.select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).where("high > low").distinct(), "links")
     mark = _mark(links)
     while mark[0]:
-        links = stored(_small_star(_large_star(links)), "links")
+        read, links = links, stored(_small_star(_large_star(links)), "links")
+        discard(read)
         before, mark = mark, _mark(links)
         if before == mark:
             break
-    return stored(links.select(F.col("high").alias("node"), F.col("low").alias("component"))
-                  .unionByName(links.select(F.col("low").alias("node"), F.col("low").alias("component"))).distinct(), "components")
+    found = stored(links.select(F.col("high").alias("node"), F.col("low").alias("component"))
+                   .unionByName(links.select(F.col("low").alias("node"), F.col("low").alias("component"))).distinct(), "components")
+    discard(links)
+    return found

@@ -43,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import stored
+from aerolake.llm.bitfilter import bit_filter, passes
+from aerolake.llm.common import discard, stored
 from aerolake.llm.components import components
 from aerolake.llm.shingles import Shingler, mixed
 
@@ -106,9 +107,23 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
 def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Written rows (pivot, cid, n, leader, n_leader): the regions each class lies in, and only regions of two and more."""
     owner = classes.select("cid", "first_row").hint("shuffle_hash")
-    sets = signed.join(owner, signed["row"] == owner["first_row"]).select("cid", "n", "n_counted", F.posexplode("prefix").alias("place", "pivot"))
-    shared = sets.groupBy("pivot").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    found = sets.join(shared, "pivot").withColumn("counted", F.col("place") < F.col("n_counted"))
+    sets = stored(signed.join(owner, signed["row"] == owner["first_row"]).select("cid", "n", "n_counted", "prefix"), "prefixes", "zstd")
+    shared = stored(sets.select(F.explode("prefix").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-pivots")
+    held = bit_filter(shared.select("pivot"))
+
+    def may_be_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per shingle that the filter of the shared ones lets through: nearly all others are met once only."""
+        for batch in batches:
+            offsets = batch.column(3).offsets.to_numpy()
+            pivots = batch.column(3).flatten().to_numpy()
+            kept = np.flatnonzero(passes(held.value, pivots.view(np.uint64)))
+            row = np.searchsorted(offsets - offsets[0], kept, "right") - 1
+            counted = kept - (offsets - offsets[0])[row] < batch.column(2).to_numpy()[row]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(pa.array(row)) for i in range(3)), pa.array(counted), pa.array(pivots[kept])],
+                ["cid", "n", "n_counted", "counted", "pivot"])
+
+    found = sets.mapInArrow(may_be_shared, "cid long, n long, n_counted long, counted boolean, pivot long").join(shared, "pivot")
     # A class's unshared counted shingles come first in the order and need no region.
     own = Window.partitionBy("cid")
     alone = F.col("n_counted") - F.sum(F.col("counted").cast("int")).over(own)
@@ -119,7 +134,9 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = stored(rows, "region-rows")
     lively = rows.groupBy("pivot").agg(F.min(F.struct("cid", "n")).alias("first"), F.max("cid").alias("other")).where("first.cid < other")
     lively = lively.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
-    return stored(rows.join(lively, "pivot"), "regions")
+    regions = stored(rows.join(lively, "pivot"), "regions")
+    discard(sets, shared, rows)
+    return regions
 
 
 def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -146,7 +163,9 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")).join(pairs.select("a").distinct(), "a", "left_semi")
     right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b", "left_semi")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return stored(joined.mapInArrow(run, "a long, b long, common long, total long"), "compared")
+    found = stored(joined.mapInArrow(run, "a long, b long, common long, total long"), "compared")
+    discard(pairs)
+    return found
 
 
 def _size_window(a, b, percent: int):
@@ -202,8 +221,8 @@ def _windows(percent: int, busiest: bool):
     return run
 
 
-def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int, busiest: bool) -> DataFrame:
-    """Pairs (a, b) inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes.
+def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int, busiest: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs (a, b), and the tables they are read from, inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes.
 
     ``busiest`` compares all blocks with the first one only and keeps one pair a member.
     """
@@ -211,11 +230,11 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
     # no task sorts a region: the class is a power of 1 / t, and only neighbouring classes can link.
     strip = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9))
     rows = members.withColumn("strip", strip.cast("long"))
-    sizes = stored(rows.groupBy("pivot", "strip").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")), "strips")
+    strips = stored(rows.groupBy("pivot", "strip").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")), "strips")
     # A strip is done if it and its neighbours lie in one component.
-    around = sizes.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
+    around = strips.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
         F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("pivot", "strip")
-    sizes = stored(sizes.select("pivot", "strip", "m").join(around, ["pivot", "strip"]), "open-strips")
+    sizes = stored(strips.select("pivot", "strip", "m").join(around, ["pivot", "strip"]), "open-strips")
     rows = rows.join(sizes, ["pivot", "strip"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / block)).cast("long"))
     rows = rows.join(counts, "cid")
     blocks = stored(rows.groupBy("pivot", "strip", "block").agg(
@@ -229,7 +248,7 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
         ((F.col("own") < F.col("strip")) | (F.col("block_a") <= F.col("block_b")))
         & ~((F.col("low") == F.col("high")) & (F.col("low_a") == F.col("low")) & (F.col("high_a") == F.col("high"))))
     pairs = pairs.select("left", "right", ((F.col("own") == F.col("strip")) & (F.col("block_a") == F.col("block_b"))).alias("same"))
-    return pairs.mapInArrow(_windows(percent, busiest), "a long, b long").distinct()
+    return pairs.mapInArrow(_windows(percent, busiest), "a long, b long").distinct(), [strips, sizes, blocks]
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
@@ -271,8 +290,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
             members = members.join(crowded, ["cid", "pivot"], "left_semi")
         members = members.join(distance, ["leader", "cid"], "left").select(
             "pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
-        pairs = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest).join(done, ["a", "b"], "left_anti")
-        second = compared(pairs, texts, width)
+        pairs, read = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest)
+        second = compared(pairs.join(done, ["a", "b"], "left_anti"), texts, width)
+        discard(several, *read)
         done = done.unionByName(second.select("a", "b"))
         known = named_by.select(F.col("node").alias("a"), F.col("component").alias("b"))
         named_by = components(known.unionByName(second.where(linked).select("a", "b")))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import as_uri, stored
+from aerolake.llm.common import as_uri, small_batches, stored
 from aerolake.llm.huffman import CHECKPOINT, Decoder, canonical_codes, code_lengths, pack
 from aerolake.llm.tokens import Encoder, packed, slices_by_bytes
 
@@ -58,7 +58,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
                     [part.column(0), part.column(1), pa.array(counts + 1, pa.int64()), pa.array(data, pa.binary())], ["key", "tie", "n", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("tie"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, "key long, tie long, n long, ids binary"), "token-ids", "none")
+    with small_batches(docs.sparkSession):
+        return stored(rows.mapInArrow(run, "key long, tie long, n long, ids binary"), "token-ids", "none")
 
 
 def _unsqueezed(data: bytes, reader: zstandard.ZstdDecompressor) -> np.ndarray:
