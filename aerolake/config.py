@@ -94,6 +94,11 @@ class FlightConfig:
     def runs_path(self) -> str:
         return f"{self.output_prefix}/state/runs"
 
+    @property
+    def day_stats_path(self) -> str:
+        """Rows and moments of the feature table's days, kept up to date by accumulation."""
+        return f"{self.output_prefix}/stats/days_{self.dataset_name}"
+
     @property
     def ingested_path(self) -> str:
         return f"{self.output_prefix}/ingested.parquet"

@@ -35,6 +35,24 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.agg(*feature_stats_columns(features))
 
 
+def day_stats(df: DataFrame, date_col: str, features: Sequence[str]) -> DataFrame:
+    """Per day: rows ``n``, and for each feature its missing values, sum and sum of squares.
+
+    Days in several parts are added up by :func:`merged_days`.
+    """
+    columns = [F.count("*").alias("n")]
+    for c in features:
+        x = F.col(c).cast("double")
+        columns += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"), F.coalesce(F.sum(x), F.lit(0.0)).alias(f"sum_{c}"),
+                    F.coalesce(F.sum(x * x), F.lit(0.0)).alias(f"squares_{c}")]
+    return df.groupBy(date_col).agg(*columns)
+
+
+def merged_days(stats: DataFrame, date_col: str) -> DataFrame:
+    """One row a day from day statistics in parts."""
+    return stats.groupBy(date_col).agg(*(F.sum(c).alias(c) for c in stats.columns if c != date_col))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, null_count) for every column, counted in one pass."""
     counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from aerolake.functions.draws import add_draw
 from aerolake.operators.profile import modal_year
 
-LOOK_BACK_DAYS = (30, 120, 480)
+#: Copies of a row that one task writes out.
+COPIES_AT_ONCE = 1 << 16
 
 
 def date_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date,
@@ -53,15 +54,16 @@ def modal_year_rows(df: DataFrame, date_col: str) -> DataFrame:
     return df.where(F.col(date_col).between(first, last))
 
 
-def newest_cutoff(df: DataFrame, date_col: str, cap: int) -> DataFrame:
+def newest_cutoff(counts: DataFrame, date_col: str, cap: int) -> DataFrame:
     """Where a newest-first cap of ``cap`` rows falls, as one row.
 
-    ``cut_day`` is the oldest day that is touched, ``rows_after`` the rows of
-    the newer days, ``rows_on_day`` how many of ``cut_day`` still fit.  Works on
-    per-day counts, so the window sees one row per calendar day.
+    ``counts`` has the number of rows ``n`` of each day; days may be in several
+    parts.  ``cut_day`` is the oldest day that is touched, ``rows_after`` the rows of
+    the newer days, ``rows_on_day`` how many of ``cut_day`` still fit.  The window
+    sees one row per calendar day.
     """
     newest_first = Window.orderBy(F.desc(date_col))
-    days = (df.where(F.col(date_col).isNotNull()).groupBy(date_col).agg(F.count("*").alias("n"))
+    days = (counts.where(F.col(date_col).isNotNull()).groupBy(date_col).agg(F.sum("n").alias("n"))
             .withColumn("upto", F.sum("n").over(newest_first)))
     touched = days.where(F.col("upto") - F.col("n") < cap)
     return touched.agg(
@@ -72,24 +74,18 @@ def newest_cutoff(df: DataFrame, date_col: str, cap: int) -> DataFrame:
     )
 
 
-def cap_newest(df: DataFrame, date_col: str, cap: int, seed: int = 42,
-               newest: dt.date | None = None) -> DataFrame:
+def cap_newest(df: DataFrame, date_col: str, cap: int, seed: int = 42, counts: DataFrame | None = None) -> DataFrame:
     """The newest ``cap`` dated rows; which rows of the cut day stay is set by
     their content, so a second evaluation gives the same rows.
 
-    Whole days are kept by a filter; only the cut day is sampled.  With
-    ``newest`` (a date near the newest rows) the days are counted over a short
-    look-back first, and over a longer one only while the cap is not filled, so
-    a long history is not scanned for a few recent days.
+    Whole days are kept by a filter; only the cut day is sampled.  ``counts`` are
+    the rows of each day (the date and ``n``), if they are known from the writing of
+    the table: then only the days that are kept are read.  Without them one aggregate
+    counts the days.
     """
-    for look_back in (*LOOK_BACK_DAYS, None) if newest else (None,):
-        recent = df if look_back is None else df.where(
-            F.col(date_col) > F.lit(newest - dt.timedelta(days=look_back)))
-        cut = newest_cutoff(recent, date_col, cap).first()
-        if cut.rows_after + cut.rows_on_day == cap:
-            break
-    else:
-        return df.where(F.col(date_col).isNotNull())
+    if counts is None:
+        counts = df.groupBy(date_col).agg(F.count("*").alias("n"))
+    cut = newest_cutoff(counts, date_col, cap).first()
     newer = df.where(F.col(date_col) > F.lit(cut.cut_day))
     on_day = df.where(F.col(date_col) == F.lit(cut.cut_day))
     return newer.unionByName(sample_exact(on_day, cut.rows_on_day, seed=seed))
@@ -143,7 +139,9 @@ def _take_copies(df: DataFrame, n: int) -> DataFrame:
     order = Window.orderBy(*df.columns)
     copies = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(order) - F.col("_n")
-    return (copies.withColumn("_take", F.least(F.col("_n"), F.lit(n) - before))
-            .where("_take > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take"))))
-            .select(*df.columns))
+    taken = copies.withColumn("_take", F.least(F.col("_n"), F.lit(n) - before)).where("_take > 0")
+    # One row may be copied very often: the copies are dealt out in parts before they are written out.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_take") - 1) / COPIES_AT_ONCE)))
+    parts = taken.withColumn("_part", part).hint("rebalance")
+    size = F.least(F.lit(COPIES_AT_ONCE), F.col("_take") - F.col("_part") * COPIES_AT_ONCE)
+    return parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size.cast("long")))).select(*df.columns)

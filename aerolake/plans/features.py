@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 from aerolake.config import FlightConfig
 from aerolake.functions.dates import first_run_lower_bound
 from aerolake.functions.encoding import nan_to_null
+from aerolake.operators import profile
 from aerolake.operators.checks import require_columns, require_same_columns
-from aerolake.operators.profile import clean_counts_columns
 from aerolake.operators.rows import date_slice, drop_null_target
 from aerolake.sources import sinks, state
 from aerolake.sources.tables import read_if_exists, read_parquet
@@ -47,7 +48,7 @@ def clean_data(spark: SparkSession, config: FlightConfig) -> None:
     """
     fresh = require_columns(read_parquet(spark, config.fresh_path), config.required_columns)
     counts = Observation("clean_counts")
-    counted = fresh.observe(counts, *clean_counts_columns(config.target_column))
+    counted = fresh.observe(counts, *profile.clean_counts_columns(config.target_column))
     sinks.write_snapshot(drop_null_target(counted, config.target_column), config.clean_path)
     logger.info("Rows before and after cleaning: %s", counts.get)
 
@@ -56,12 +57,21 @@ def concat_features(spark: SparkSession, config: FlightConfig) -> None:
     """Add the clean slice to the feature table.
 
     ``accumulate_mode="replace_days"`` replaces whole days, so the day that two
-    slices share is kept once.  ``"append_all"`` keeps it twice.
+    slices share is kept once.  ``"append_all"`` keeps it twice.  The statistics of the
+    slice's days go beside the table in the same way: replaced, or added.
     """
     clean = read_parquet(spark, config.clean_path)
+    stats = profile.day_stats(clean, config.date_dk, config.input_features)
     require_same_columns(clean, read_if_exists(spark, config.features_path, clean.schema))
     write = {"replace_days": sinks.replace_days, "append_all": sinks.append_days}[config.accumulate_mode]
     write(clean, config.features_path, config.date_dk)
+    write(stats, config.day_stats_path, config.date_dk)
+
+
+def day_counts(spark: SparkSession, config: FlightConfig) -> DataFrame | None:
+    """(date, n) of the feature table's days, or None for a table that was made without them."""
+    stats = read_if_exists(spark, config.day_stats_path, StructType([]))
+    return profile.merged_days(stats, config.date_dk).select(config.date_dk, "n") if stats.columns else None
 
 
 def prepare_features(spark: SparkSession, config: FlightConfig) -> None:

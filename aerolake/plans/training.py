@@ -19,6 +19,7 @@ from aerolake.operators.bootstrap import bootstrap_r2, promotion_decision
 from aerolake.operators.metrics import METRIC_NAMES, regression_metrics
 from aerolake.operators.registry import latest_version, promote_versions
 from aerolake.operators.rows import cap_newest, drop_null_target, split_bound, time_split
+from aerolake.plans.features import day_counts
 from aerolake.sources import sinks, state
 from aerolake.sources.tables import read_parquet, row_key
 
@@ -70,8 +71,11 @@ def train_model(spark: SparkSession, config: FlightConfig) -> dict[str, float]:
     features = model_frame(read_parquet(spark, config.features_path), config)
     bound = split_bound(config.run_date(), config.val_days)
     train, test = time_split(features, config.date_dk, bound)
-    sinks.write_snapshot(cap_newest(train, config.date_dk, config.max_train_size, config.seed, bound),
-                         config.train_path)
+    # Accumulation drops rows without a target, so its counts are those of the model's rows.
+    counts = day_counts(spark, config)
+    if counts is not None:
+        counts, _ = time_split(counts, config.date_dk, bound)
+    sinks.write_snapshot(cap_newest(train, config.date_dk, config.max_train_size, config.seed, counts), config.train_path)
     sinks.write_snapshot(test, config.test_path)
     train, test = read_parquet(spark, config.train_path), read_parquet(spark, config.test_path)
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.config import FlightConfig
+from aerolake.config import INPUT_FEATURES, FlightConfig
 from aerolake.functions.dates import first_run_lower_bound
 from aerolake.operators import profile, rows
 from aerolake.plans import features, history
@@ -97,10 +97,17 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per day that stay in training under a cap of 5,000 rows."""
+    """Rows per day that stay in training under a cap of 5,000 rows, by the days' stored counts."""
     clean = rows.drop_null_target(flights(spark, sf_dir), "ARR_DELAY")
+    path = shared_folder(spark, "days")
+    sinks.write_snapshot(profile.day_stats(clean, "FL_DATE", INPUT_FEATURES), path)
     train, _ = rows.time_split(clean, "FL_DATE", BOUND)
-    return rows.cap_newest(train, "FL_DATE", TRAIN_CAP, newest=BOUND).groupBy("FL_DATE").agg(F.count("*").alias("row_count"))
+    counts, _ = rows.time_split(tables.read_parquet(spark, path), "FL_DATE", BOUND)
+    return rows.cap_newest(train, "FL_DATE", TRAIN_CAP, counts=counts).groupBy("FL_DATE").agg(F.count("*").alias("row_count"))
+
+
+def day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.day_stats(flights(spark, sf_dir), "FL_DATE", INPUT_FEATURES))
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +174,9 @@ QUERIES = {
     "time_split": (time_split, _sql(
         f"CASE WHEN FL_DATE >= DATE '{BOUND}' THEN 'test' ELSE 'train' END AS part, count(*) AS row_count, "
         "min(FL_DATE) AS min_date, max(FL_DATE) AS max_date", "GROUP BY 1")),
+    "day_stats": (day_stats, _sql("FL_DATE, count(*) AS n, " + ", ".join(
+        f"count(*) - count({c}) AS nulls_{c}, round(coalesce(sum({c}), 0), 6) AS sum_{c}, "
+        f"round(coalesce(sum({c} * {c}), 0), 6) AS squares_{c}" for c in INPUT_FEATURES), "GROUP BY FL_DATE")),
     "train_cap": (train_cap, f"""WITH {FLIGHTS_SQL},
         days AS (SELECT FL_DATE, count(*) AS n FROM flights
                  WHERE ARR_DELAY IS NOT NULL AND FL_DATE < DATE '{BOUND}' GROUP BY 1),

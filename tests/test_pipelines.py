@@ -56,6 +56,20 @@ def test_ingest_moves_the_watermark_and_never_doubles_a_day(spark, config):
     assert mark == second.as_of
 
 
+def test_accumulation_keeps_the_days_counts(spark, config):
+    frame = flights_frame(spark, raw_rows(300))
+    sinks.write_by_year(frame, config.raw_path, config.date_dk)
+    for _ in range(2):
+        features.prepare_features(spark, config)
+    want = tables.read_parquet(spark, config.features_path).groupBy("FL_DATE").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, features.day_counts(spark, config).collect())) == sorted(map(tuple, want.collect()))
+    added = replace(config, accumulate_mode="append_all")
+    features.concat_features(spark, added)
+    assert features.day_counts(spark, config).agg(F.sum("n")).first()[0] == tables.read_parquet(spark, config.features_path).count()
+    # A table made without them is counted.
+    assert features.day_counts(spark, replace(config, output_prefix=config.output_prefix + "-other")) is None
+
+
 def test_append_all_keeps_the_shared_day_twice(spark, config):
     config = replace(config, accumulate_mode="append_all")
     frame = flights_frame(spark, [flight(d, number=i) for i, d in enumerate(days(3))])

@@ -53,8 +53,9 @@ def test_cap_keeps_the_newest_days(spark, offsets, cap):
     kept = rows.cap_newest(frame, "d", cap).collect()
     assert len(kept) == min(cap, len(offsets))
     if offsets:
-        near = rows.cap_newest(frame, "d", cap, newest=DAY + dt.timedelta(days=35)).collect()
-        assert sorted(near) == sorted(kept)
+        counts = profile.day_stats(frame, "d", ["i"])
+        halves = counts.withColumn("n", F.lit(1).cast("long")).unionByName(counts.withColumn("n", F.col("n") - 1))
+        assert sorted(rows.cap_newest(frame, "d", cap, counts=halves).collect()) == sorted(kept)
     assert len({r.i for r in kept}) == len(kept)
     newest_first = sorted((DAY + dt.timedelta(days=o) for o in offsets), reverse=True)[:cap]
     assert Counter(r.d for r in kept) == Counter(newest_first)
@@ -68,6 +69,24 @@ def test_cap_of_copies_is_exact(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, kept.collect()))
 
 
+def test_very_many_copies_are_dealt_out_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(rows, "COPIES_AT_ONCE", 7)
+    copies = spark.createDataFrame([(1, "a")] * 100 + [(2, "b")] * 5, "i int, s string")
+    for n, want in ((50, 50), (103, 100), (105, 100)):
+        taken = rows._take_copies(copies, n).collect()
+        assert len(taken) == n and sum(r.i == 1 for r in taken) == want
+
+
+def test_day_stats_merge_to_those_of_all_rows(spark):
+    frame = flights_frame(spark, [flight(d, dep=float(i) if i % 3 else None) for i, d in enumerate(days(6) * 4)])
+    whole = profile.day_stats(frame, "FL_DATE", ["DEP_DELAY"])
+    parts = [profile.day_stats(frame.where(F.col("DEP_DELAY").isNull() == missing), "FL_DATE", ["DEP_DELAY"]) for missing in (True, False)]
+    merged = profile.merged_days(parts[0].unionByName(parts[1]), "FL_DATE")
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    one = whole.where(F.col("FL_DATE") == F.lit(DAY)).first()
+    assert (one.n, one.nulls_DEP_DELAY) == (4, 4) or one.squares_DEP_DELAY > 0
+
+
 @pytest.mark.parametrize("n", [0, 1, 99, 100, 101, 1999, 2000, 2001])
 def test_sample_is_exact_and_equals_a_sort(spark, n):
     frame = spark.range(2000).withColumn("v", F.col("id") * 2)
