@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolake.operators.numbering import numbered
+
 # The numeric kinds kept for exploration; 8-bit integers and
 # booleans are left out.
 NUMERIC_TYPES = (T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
@@ -42,7 +44,7 @@ def category_domains(df: DataFrame, cols: Sequence[str], max_values: int = 1000)
     """Distinct non-null values of each column, sorted; one pass for all columns.
 
     A wide indicator table has one column per value, so a column with more than
-    ``max_values`` values is an error (use :func:`indexed_one_hot` for it).
+    ``max_values`` values is an error (use :func:`sparse_one_hot` for it).
     """
     if not cols:
         return {}
@@ -69,13 +71,37 @@ def one_hot(df: DataFrame, cols: Sequence[str] | None = None, max_values: int =
     return df.select(*(c for c in df.columns if c not in cols), *flags)
 
 
-def indexed_one_hot(cols: Sequence[str]) -> list:
-    """Spark ML stages for text columns of any size: sparse indicator vectors."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+def dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, count, index): the values of each text column numbered 0, 1, ... by frequency, equal ones in order.
+
+    One aggregate counts the values of all columns (a hot value is combined on the
+    map side) and ranges of them are numbered; no task or driver holds a domain.
+    """
+    pairs = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols))).alias("p"))
+    counts = pairs.select("p.column", "p.value").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return numbered(counts, [F.desc("count"), F.asc("value")], "index", within="column")
+
 
-    indexed = [f"{c}_index" for c in cols]
-    return [StringIndexer(inputCols=list(cols), outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_flags" for c in cols], dropLast=False)]
+def sparse_one_hot(df: DataFrame, cols: Sequence[str] | None = None, known: DataFrame | None = None, out: str = "flags") -> DataFrame:
+    """Replace text columns by ``out``: the sorted places of the ones in the row of indicators of all values.
+
+    The columns' indicators follow one another, each in the order of its
+    :func:`dictionary` (``known``, or that of ``df``).  A null and a value that the dictionary
+    does not have give no place.  Any number of values is possible: each column is
+    joined with its dictionary, which adaptive execution broadcasts if its measured size
+    allows, and else splits the rows of a hot value.
+    """
+    cols = list(string_columns(df) if cols is None else cols)
+    known = dictionary(df, cols) if known is None else known
+    sizes = {r["column"]: r["n"] for r in known.groupBy("column").agg((F.max("index") + 1).alias("n")).collect()}  # a row a column
+    places, start = [], 0
+    for i, c in enumerate(cols):
+        own = known.where(F.col("column") == c).select(F.col("value").alias(f"_value_{i}"), (F.col("index") + start).alias(f"_place_{i}"))
+        df = df.join(own, F.col(c) == F.col(f"_value_{i}"), "left").drop(f"_value_{i}")
+        places.append(F.col(f"_place_{i}"))
+        start += sizes.get(c, 0)
+    kept = [c for c in df.columns if c not in cols and not c.startswith("_place_")]
+    return df.select(*kept, F.array_compact(F.array(*places)).alias(out))
 
 
 def mean_imputer(cols: Sequence[str]):

@@ -108,6 +108,13 @@ def onehot_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.one_hot(flights(spark, sf_dir).select("FL_DATE", "OP_CARRIER_FL_NUM", "OP_CARRIER"))
 
 
+def onehot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the ones of a flight's carrier, airports and number among all values."""
+    rows = flights(spark, sf_dir).select("FL_DATE", "OP_CARRIER_FL_NUM", "OP_CARRIER", "ORIGIN", "DEST",
+                                         F.concat("OP_CARRIER", F.col("OP_CARRIER_FL_NUM").cast("string")).alias("FLIGHT"))
+    return encoding.sparse_one_hot(rows).withColumn("flags", F.concat_ws(",", F.col("flags").cast("array<string>")))
+
+
 def impute_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(encoding.surrogates(flights(spark, sf_dir), INPUT_FEATURES))
 
@@ -158,6 +165,15 @@ QUERIES = {
     "numeric_columns": (numeric_columns, _sql(rounded_sql(
         [c for c in FLIGHT_COLUMNS if c not in ("FL_DATE", "OP_CARRIER", "ORIGIN", "DEST")]))),
     "onehot_categorical": (onehot_categorical, _sql(f"FL_DATE, OP_CARRIER_FL_NUM, {_CARRIERS}")),
+    "onehot_sparse": (onehot_sparse, f"""WITH {FLIGHTS_SQL},
+        f AS (SELECT row_number() OVER () AS row, FL_DATE, OP_CARRIER_FL_NUM, [OP_CARRIER, ORIGIN, DEST,
+                concat(OP_CARRIER, CAST(OP_CARRIER_FL_NUM AS VARCHAR(20)))] AS v FROM flights),
+        long AS (SELECT row, unnest(v) AS value, unnest(range(4)) AS c FROM f),
+        known AS (SELECT c, value, row_number() OVER (ORDER BY c, count(*) DESC, value) - 1 AS place
+                  FROM long WHERE value IS NOT NULL GROUP BY c, value),
+        placed AS (SELECT row, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS flags
+                   FROM long JOIN known USING (c, value) GROUP BY row)
+        SELECT FL_DATE, OP_CARRIER_FL_NUM, coalesce(flags, '') AS flags FROM f LEFT JOIN placed USING (row)"""),
     "impute_surrogates": (impute_surrogates, _sql(", ".join(f"round(avg({c}), 6) AS {c}" for c in INPUT_FEATURES))),
     "impute_mean": (impute_mean, f"""WITH {FLIGHTS_SQL},
         m AS (SELECT {", ".join(f"avg({c}) AS m_{c}" for c in INPUT_FEATURES)} FROM flights)

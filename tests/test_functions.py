@@ -79,12 +79,33 @@ def test_one_hot_refuses_a_crowded_column(spark):
         encoding.one_hot(rows, max_values=10)
 
 
-def test_indexed_one_hot_takes_any_domain(spark):
-    from pyspark.ml import Pipeline
-
-    rows = spark.createDataFrame([("a",), ("b",), ("a",)], "s string")
-    vectors = Pipeline(stages=encoding.indexed_one_hot(["s"])).fit(rows).transform(rows).collect()
-    assert [int(v.s_flags.indices[0]) for v in vectors] == [0, 1, 0]
+def test_sparse_one_hot_takes_any_domain(spark):
+    values = [f"v{i:05d}" for i in range(3000)] + ["hot"] * 4000 + [None, "Hot", ""]
+    rows = spark.createDataFrame([(i, v, "x" if i % 2 else None) for i, v in enumerate(values)], "id int, s string, t string")
+    known = {(r["column"], r["value"]): r["index"] for r in encoding.dictionary(rows, ["s", "t"]).collect()}
+    order = sorted({v for v in values if v is not None}, key=lambda v: (-values.count(v), v))
+    assert known == {**{("s", v): i for i, v in enumerate(order)}, ("t", "x"): 0}
+    got = {r.id: r.flags for r in encoding.sparse_one_hot(rows).collect()}
+    assert got == {i: ([] if v is None else [known["s", v]]) + [len(order)] * (i % 2) for i, v in enumerate(values)}
+
+
+def test_sparse_one_hot_by_a_known_dictionary(spark):
+    train = spark.createDataFrame([("a",), ("a",), ("b",)], "s string")
+    later = spark.createDataFrame([(1, "b"), (2, "new"), (3, None)], "id int, s string")
+    got = encoding.sparse_one_hot(later, ["s"], encoding.dictionary(train, ["s"]))
+    assert {r.id: r.flags for r in got.collect()} == {1: [1], 2: [], 3: []}
+    assert encoding.sparse_one_hot(train.limit(0)).collect() == []
+
+
+def test_numbers_in_an_order_within_groups(spark):
+    from aerolake.operators.numbering import numbered
+
+    rows = [("one" if i % 3 else "other", (i * 7919) % 1000) for i in range(1000)]
+    got = numbered(spark.createDataFrame(rows, "g string, v int").repartition(9), [F.desc("v")], "n", "g").collect()
+    for g in ("one", "other"):
+        want = sorted((v for k, v in rows if k == g), reverse=True)
+        assert [r.v for r in sorted((r for r in got if r.g == g), key=lambda r: r.n)] == want
+        assert sorted(r.n for r in got if r.g == g) == list(range(len(want)))
 
 
 def test_standardize_uses_population_deviation_and_keeps_constants(spark):
