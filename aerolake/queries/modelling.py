@@ -8,6 +8,7 @@ earlier ones left over.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cache
 
 from pyspark.ml import PipelineModel
@@ -240,12 +241,12 @@ def _logreg_sql(steps: int = 7) -> str:
 
 
 @cache
-def _linear_sql() -> str:
-    """CTE ``scored``: every flight with its filled features and prediction ``p``."""
+def _linear_sql(bound: dt.date = BOUND) -> str:
+    """CTE ``scored``: every flight with its filled features and prediction ``p`` by the fit on the rows before ``bound``."""
     xs = range(1, 5)
     ctes = [FLIGHTS_SQL,
             f"""base AS (SELECT *, dayofweek(FL_DATE) AS wd,
-                FL_DATE < DATE '{BOUND}' AND ARR_DELAY IS NOT NULL AS fit FROM flights)""",
+                FL_DATE < DATE '{bound}' AND ARR_DELAY IS NOT NULL AS fit FROM flights)""",
             "fill AS (SELECT " + ", ".join(f"avg({c}) AS f{i}" for i, c in enumerate(INPUT_FEATURES, 1))
             + " FROM base WHERE fit)",
             "filled AS (SELECT base.*, " + ", ".join(f"coalesce({c}, f{i}) AS x{i}"

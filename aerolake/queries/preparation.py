@@ -68,10 +68,13 @@ def accumulate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepare_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files in one folder per source year, shifted and trimmed."""
+    """CSV files in one folder per half and source year, shifted and trimmed; the second half's years begin in May,
+    so that folders of one name in both halves have different modal years."""
     source, target = shared_folder(spark, "history-in"), shared_folder(spark, "history-out")
-    (flights(spark, sf_dir, staging=True).withColumn("source_year", F.year("FL_DATE")).write
-     .option("header", True).partitionBy("source_year").csv(source))
+    half = (F.col("OP_CARRIER_FL_NUM") % 2).alias("half")
+    year = F.year(F.when(F.col("half") == 0, F.col("FL_DATE")).otherwise(F.add_months("FL_DATE", 8)))
+    (flights(spark, sf_dir, staging=True).select("*", half).withColumn("in_year", year).write
+     .option("header", True).partitionBy("half", "in_year").csv(source))
     history.load_history(spark, source, target, level="folder")
     return rounded(tables.read_parquet(spark, target).select("year", *ROW))
 
@@ -161,12 +164,13 @@ QUERIES = {
         "FL_DATE, count(*) AS row_count, round(sum(DEP_DELAY), 6) AS sum_dep_delay, "
         "round(sum(ARR_DELAY), 6) AS sum_arr_delay", f"WHERE {_FRESH} AND ARR_DELAY IS NOT NULL GROUP BY FL_DATE")),
     "prepare_history": (prepare_history, f"""WITH {FLIGHTS_SQL},
-        shifted AS (SELECT * REPLACE (CAST(FL_DATE + 1825 AS DATE) AS FL_DATE), year(FL_DATE) AS source_year
+        shifted AS (SELECT * REPLACE (CAST(FL_DATE + 1825 AS DATE) AS FL_DATE), OP_CARRIER_FL_NUM % 2 AS half,
+                      CASE WHEN OP_CARRIER_FL_NUM % 2 = 0 THEN year(FL_DATE) ELSE year(FL_DATE + INTERVAL 8 MONTH) END AS in_year
                     FROM flights WHERE DEP_DELAY IS NOT NULL),
-        counts AS (SELECT source_year, year(FL_DATE) AS y, count(*) AS n FROM shifted GROUP BY ALL),
-        modes AS (SELECT source_year, y FROM counts
-                  QUALIFY row_number() OVER (PARTITION BY source_year ORDER BY n DESC, y) = 1)
-        SELECT CAST(y AS INTEGER) AS year, {ROW_SQL} FROM shifted JOIN modes USING (source_year)
+        counts AS (SELECT half, in_year, year(FL_DATE) AS y, count(*) AS n FROM shifted GROUP BY ALL),
+        modes AS (SELECT half, in_year, y FROM counts
+                  QUALIFY row_number() OVER (PARTITION BY half, in_year ORDER BY n DESC, y) = 1)
+        SELECT CAST(y AS INTEGER) AS year, {ROW_SQL} FROM shifted JOIN modes USING (half, in_year)
         WHERE year(FL_DATE) = y"""),
     "date_bounds": (date_bounds, _sql("min(FL_DATE) AS min_date, max(FL_DATE) AS max_date")),
     "modal_year": (modal_year, _sql("modal_year", table_name=_MODAL)),

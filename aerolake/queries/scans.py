@@ -46,18 +46,24 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _carrier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV folders by carrier, of the same names below two folders; a row's label is its folder's path below them."""
     path = shared_folder(spark, "carriers")
-    (flights(spark, sf_dir, staging=True).withColumn("carrier", F.col("OP_CARRIER")).write
-     .option("header", True).partitionBy("carrier").csv(path))
-    return tables.read_csv_files(spark, path, schema.FLIGHT, level="folder")
+    (flights(spark, sf_dir, staging=True).select(
+        F.when(F.col("OP_CARRIER_FL_NUM") % 2 == 0, "even").otherwise("odd").alias("part"), F.col("OP_CARRIER").alias("carrier"), "*").write
+     .option("header", True).partitionBy("part", "carrier").csv(path))
+    return tables.read_csv_files(spark, path, schema.FLIGHT, level="folder_path")
+
+
+def _below(label):
+    return F.substring_index(label, "/", -2)
 
 
 def scan_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_carrier_files(spark, sf_dir).select("source_file", *ROW))
+    return rounded(_carrier_files(spark, sf_dir).select(_below("source_file").alias("source_file"), *ROW))
 
 
 def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.file_profile(_carrier_files(spark, sf_dir), "source_file")
+    return profile.file_profile(_carrier_files(spark, sf_dir), "source_file").withColumn("source_file", _below("source_file"))
 
 
 def scan_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +144,8 @@ _SERVING = ", ".join(f"CAST(isodow(FL_DATE) - 1 = {k} AS INTEGER) AS flight_week
 _CARRIERS = ", ".join(f"CAST(OP_CARRIER = '{v}' AS INTEGER) AS OP_CARRIER_{v}"
                       for v in ("AF", "AO", "NF", "NO", "RF", "RO"))
 
+_FOLDER = "concat(CASE WHEN OP_CARRIER_FL_NUM % 2 = 0 THEN 'part=even' ELSE 'part=odd' END, '/carrier=', OP_CARRIER)"
+
 QUERIES = {
     "scan_parquet": (scan_parquet, "SELECT l_orderkey, l_linenumber, l_quantity, "
                      "CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"),
@@ -145,8 +153,8 @@ QUERIES = {
     "drop_columns": (drop_columns, _sql(rounded_sql([c for c in FLIGHT_COLUMNS if c != "AIR_TIME"]))),
     "csv_roundtrip": (csv_roundtrip, _sql(ALL_SQL)),
     "parquet_roundtrip": (parquet_roundtrip, _sql(ALL_SQL)),
-    "scan_multi_file": (scan_multi_file, _sql(f"concat('carrier=', OP_CARRIER) AS source_file, {ROW_SQL}")),
-    "file_profile": (file_profile, _sql("concat('carrier=', OP_CARRIER) AS source_file, count(*) AS row_count, "
+    "scan_multi_file": (scan_multi_file, _sql(f"{_FOLDER} AS source_file, {ROW_SQL}")),
+    "file_profile": (file_profile, _sql(f"{_FOLDER} AS source_file, count(*) AS row_count, "
                                         "21 AS column_count", "GROUP BY 1")),
     "scan_if_exists": (scan_if_exists, _sql(ROW_SQL)),
     "partition_by_year": (partition_by_year, _sql(

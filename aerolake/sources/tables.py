@@ -47,10 +47,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, recursive: bo
     return scan.select(*schema.names)
 
 
-def file_label(level: str = "file") -> Column:
-    """Name of the file a row came from, or of the folder holding the file.
+def file_label(level: str = "file_path") -> Column:
+    """The file a row came from, or (``folder_path``) the folder holding it, by its full path.
 
-    Names repeat across folders; ``file_path`` and ``folder_path`` are unique.
+    ``file`` and ``folder`` give the bare names, which may repeat across folders.
     """
     if level == "file_path":
         return F.col("_metadata.file_path")
@@ -62,7 +62,7 @@ def file_label(level: str = "file") -> Column:
 
 
 def read_csv_files(spark: SparkSession, path: str, schema: T.StructType, label: str = "source_file",
-                   level: str = "file") -> DataFrame:
+                   level: str = "file_path") -> DataFrame:
     """All CSV files below ``path`` as one scan, each row tagged with its file."""
     return read_csv(spark, path, schema, recursive=True).select(file_label(level).alias(label), "*")
 
