@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -31,6 +32,16 @@ def discard(*tables: DataFrame) -> None:
         files.remove(df.sparkSession, df.stored_folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    It does so when the driver collects the plans that used them as garbage, which a
+    driver with little to do may put off to the end of a long job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """What runs inside hands whole texts to Python ``rows`` at a time at most, instead of 10,000.

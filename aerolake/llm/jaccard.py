@@ -38,13 +38,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.llm.bitfilter import bit_filter, passes
-from aerolake.llm.common import discard, stored
+from aerolake.llm.common import discard, release, small_batches, stored
 from aerolake.llm.components import components
 from aerolake.llm.shingles import Shingler, mixed
 
@@ -58,6 +57,8 @@ CLASS_SIZE, MIN_CLASSES, MAX_CLASSES = 4, 32, 1024
 BLOCK = 256
 #: Class counts compared at once in a task.
 COUNTS_AT_ONCE = 1 << 22
+#: Pairs handed to Spark at once, and pairs of blocks handed to Python at once.
+PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 1 << 17, 128
 
 SIGNATURE = "key long, text_hash long, n long, print_1 long, print_2 long, n_counted long, prefix array<long>, classes binary"
 
@@ -137,6 +138,7 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     lively = lively.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
     regions = stored(rows.join(lively, "pivot"), "regions")
     discard(sets, shared, rows)
+    release(signed.sparkSession)
     return regions
 
 
@@ -191,37 +193,56 @@ def _windows(percent: int, busiest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = percent / 100
         for batch in batches:
-            for row in batch.to_pylist():
-                sides = []
-                classes = min(len(x["classes"]) for side in (row["left"], row["right"]) for x in side)
-                for side in (row["left"], row["right"]):
-                    table = pd.DataFrame(side)
-                    counts = folded(table["classes"].tolist(), classes)
-                    sides.append((table["cid"].to_numpy(), table["n"].to_numpy(), table["component"].to_numpy(),
-                                  table["near"].to_numpy(), table["far"].to_numpy(), counts))
-                (id_a, n_a, c_a, near_a, far_a, k_a), (id_b, n_b, c_b, near_b, far_b, k_b) = sides
-                both = n_a[:, None] + n_b[None, :]
+            (of_a, left), (of_b, right) = (_members(batch.column(i)) for i in (0, 1))
+            same = batch.column(2).to_pylist()
+            found, n_found = [], 0
+            for i in range(batch.num_rows):
+                a, b = slice(of_a[i], of_a[i + 1]), slice(of_b[i], of_b[i + 1])
+                n_a, n_b = left["n"][a][:, None], right["n"][b][None, :]
+                ok = (left["component"][a][:, None] != right["component"][b]) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+                if same[i]:
+                    ok &= left["cid"][a][:, None] < right["cid"][b]
+                ok &= np.maximum(left["near"][a][:, None] - right["far"][b], right["near"][b] - left["far"][a][:, None]) <= 1 - t + 1e-9
+                x, y = np.nonzero(ok)
+                if not len(x):
+                    continue
+                both = n_a[x, 0] + n_b[0, y]
                 # Linked sets share at least t / (1 + t) of the sum of their sizes.
                 most = both - 2 * np.ceil(both * t / (1 + t) - 1e-9)
-                ok = (c_a[:, None] != c_b[None, :]) & (100 * np.minimum(n_a[:, None], n_b) >= percent * np.maximum(n_a[:, None], n_b))
-                gap = np.maximum(near_a[:, None] - far_b, near_b - far_a[:, None])
-                ok &= gap <= 1 - t + 1e-9
-                if row["same"]:
-                    ok &= id_a[:, None] < id_b
-                i, j = np.nonzero(ok)
+                (ua, x_at), (ub, y_at) = np.unique(x, return_inverse=True), np.unique(y, return_inverse=True)
+                counts = [[side["classes"][int(k)].as_py() for k in start + used] for side, start, used in ((left, a.start, ua), (right, b.start, ub))]
+                classes = min(len(c) for side in counts for c in side)
+                k_a, k_b = (folded(side, classes) for side in counts)
                 step = max(1, COUNTS_AT_ONCE // classes)
-                keep = np.concatenate([np.zeros(0, bool)] + [
-                    np.abs(k_a[i[at:at + step]] - k_b[j[at:at + step]]).sum(axis=1) <= most[i[at:at + step], j[at:at + step]]
-                    for at in range(0, len(i), step)])
-                a, b = id_a[i[keep]], id_b[j[keep]]
-                if busiest and len(a):
-                    chosen = _to_busiest(a, b)
-                    a, b = a[chosen], b[chosen]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                keep = np.concatenate([np.abs(k_a[x_at[at:at + step]] - k_b[y_at[at:at + step]]).sum(axis=1) <= most[at:at + step]
+                                       for at in range(0, len(x), step)])
+                one, other = left["cid"][a][x[keep]], right["cid"][b][y[keep]]
+                if busiest and len(one):
+                    chosen = _to_busiest(one, other)
+                    one, other = one[chosen], other[chosen]
+                found.append((one, other))
+                n_found += len(one)
+                if n_found >= PAIRS_AT_ONCE:
+                    yield _pairs(found)
+                    found, n_found = [], 0
+            if found:
+                yield _pairs(found)
 
     return run
 
 
+def _members(column: pa.ListArray) -> tuple[np.ndarray, dict]:
+    """(bounds of each row's members, their columns) of a column of lists of members."""
+    values = column.values
+    fields = {f.name: values.field(i) for i, f in enumerate(values.type)}
+    return column.offsets.to_numpy(), {k: v if k == "classes" else v.to_numpy(zero_copy_only=False) for k, v in fields.items()}
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) for x in zip(*found))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int, busiest: bool) -> tuple[DataFrame, list[DataFrame]]:
     """Pairs (a, b), and the tables they are read from, inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes.
 
@@ -263,10 +284,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     active = stored(found.select("cid").distinct().join(classes, "cid").join(
         signed.select(F.col("row").alias("first_row"), "key", "text_hash", "classes"), "first_row"), "active")
+    # Joined by key and text; a repeated row is one text, found in the join's own partitions.
+    place = [F.coalesce("key", F.lit(0)).alias("k"), F.col("key").isNull().alias("null_key"), "text_hash"]
     named = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
-    wanted = active.select(F.col("key").alias("k"), F.col("text_hash").alias("h"), "cid")
-    texts = named.join(wanted, F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h"))).select("cid", "text")
-    texts = stored(texts.groupBy("cid").agg(F.first("text").alias("text")), "active-texts", "zstd")  # a repeated row is one text
+    at = ["k", "null_key", "text_hash"]
+    texts = named.select(*place, "text").join(active.select(*place, "cid"), at).groupBy(*at, "cid").agg(F.first("text").alias("text"))
+    texts = stored(texts.select("cid", "text"), "active-texts", "zstd")
+    release(docs.sparkSession)
 
     # Round 1: every region's own pivot against its members.
     stars = found.where((F.col("cid") != F.col("leader")) & _size_window(F.col("n"), F.col("n_leader"), percent))
@@ -274,6 +298,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
     named_by = components(links)
+    release(docs.sparkSession)
 
     # Round 2: what is left of the regions with several components, the pivot itself being done.
     distance = first.select(F.col("a").alias("leader"), F.col("b").alias("cid"), (1 - F.col("common") / F.col("total")).alias("d"))
@@ -292,8 +317,12 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         members = members.join(distance, ["leader", "cid"], "left").select(
             "pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
         pairs, read = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest)
-        second = compared(pairs.join(done, ["a", "b"], "left_anti"), texts, width)
+        with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
+            pairs = stored(pairs, "window-pairs")
         discard(several, *read)
+        release(docs.sparkSession)
+        second = compared(pairs.join(done, ["a", "b"], "left_anti"), texts, width)
+        discard(pairs)
         done = done.unionByName(second.select("a", "b"))
         known = named_by.select(F.col("node").alias("a"), F.col("component").alias("b"))
         named_by = components(known.unionByName(second.where(linked).select("a", "b")))
