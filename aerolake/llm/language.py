@@ -14,10 +14,10 @@ length.  Without any labelled text every prediction is ``und``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +32,14 @@ SHORT_BYTES, SHORT_REPEATS = 256, 4
 MIN_MARGIN = 0.004
 PIECE_BYTES = 64 << 10
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Letters, and the marks that belong to them, by Unicode category; digits and other numerals are neither.
+_LETTER, _NOT_LETTERS = regex.compile(r"\p{L}"), regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters_only(text: str) -> bytes:
-    """The text in lower case with every run of other characters than letters turned into one space."""
+    """The text in lower case with every run of other characters than letters turned into one space; nothing without a letter."""
+    if not _LETTER.search(text):
+        return b""
     plain = _NOT_LETTERS.sub(" ", text).strip().lower().encode("utf-8", "replace")
     return b" ".join([plain] * SHORT_REPEATS) if len(plain) < SHORT_BYTES else plain
 

@@ -95,6 +95,14 @@ def test_language_edge_cases(spark, edge):
     assert {r.lang_pred for r in language.identify(edge, {}).collect()} == {"und"}
 
 
+def test_letters_are_those_of_unicode(spark):
+    assert [language.letters_only(t) for t in ("½ ²", "Ⅷ", "١٢ 12 _", "", "́")] == [b""] * 5  # numerals, digits, a mark alone
+    assert language.letters_only("Cafe\u0301 ½no") .startswith("cafe\u0301 no".encode())
+    rows = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ")], "doc_id long, text string")
+    learnt = {"de": b"der die das und ist", "en": b"the and of is that"}
+    assert {(r.lang_pred, r.score, r.rejected) for r in language.identify(rows, learnt).collect()} == {("und", 0.0, True)}
+
+
 def test_long_clean_texts_are_kept(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     learnt = language.learn_dictionaries(docs)

@@ -75,3 +75,18 @@ def test_edge_cases(spark):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, given, SF).collect()
     assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).orderBy("doc_id").collect()] == [1, 2, 3]
+
+
+#: Names that the stages or the operators use themselves.
+CLASH = ["score", "lang_pred", "rejected", "__row", "row", "doc", "__key", "__hash", "__text", "__mix_words", "__mix_copies", "__mix_source",
+         "key", "n", "cid", "component_id", "group"]
+
+
+def test_user_columns_come_through_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASH])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert rows and all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in CLASH)
+    assert corpus_pipeline.write_tokens(spark, docs, SF).count() == docs.count()
