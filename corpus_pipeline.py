@@ -14,13 +14,18 @@ from aerolake.llm.common import stored, table
 from aerolake.sources.workspace import shared_folder
 
 
+def _held(docs: DataFrame, *columns: str) -> DataFrame:
+    """``doc``, the whole row, beside the columns that an operator works on: so no name of the operator's meets one of the row's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; narrow and letterless ones go.
 
     The dictionaries are learnt from the documents' own labels, and the text alone decides.
     """
-    found = language.identify(docs.withColumn("__text", F.col("text")), language.learn_dictionaries(docs), text="__text")
-    return found.where(~F.col("rejected")).select(*_columns(docs))
+    found = language.identify(_held(docs, "text"), language.learn_dictionaries(docs))
+    return found.where(~F.col("rejected")).select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,26 +33,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without a shingle have no links and stay.
     """
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
-    linked = jaccard.join(rows, key="__row", text="text", width=5, percent=80).select(F.col("__row").alias("row"), F.col("component_id").alias("group"))
-    ids = rows.select(F.col("__row").alias("row"), "doc_id").join(linked, "row")
+    rows = stored(_held(docs).withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    texts = rows.select("row", F.col("doc.text").alias("text"))
+    linked = jaccard.join(texts, key="row", text="text", width=5, percent=80).select("row", F.col("component_id").alias("group"))
+    ids = rows.select("row", F.col("doc.doc_id").alias("doc_id")).join(linked, "row")
     # Null ids come last; equal ids are told apart by the row.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    kept = stored(ids.groupBy("group").agg(first).select(F.col("first.row").alias("__row")), "kept-rows")
-    return rows.join(kept, "__row", "left_semi").select(*_columns(docs))
+    kept = stored(ids.groupBy("group").agg(first).select(F.col("first.row").alias("row")), "kept-rows")
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("__key"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__key")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(hit, same, "left_anti")
+    found = decontamination.find_contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("key"), F.col("text_hash").alias("hash")).distinct()
+    same = F.col("doc.doc_id").eqNullSafe(F.col("key")) & (F.xxhash64("doc.text") == F.col("hash"))
+    return _held(docs).join(hit, same, "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents, each as often as the mix takes it."""
-    return mixing.mix(docs)
+    return mixing.mix(_held(docs, "doc_id", "source", "text")).select("doc.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +64,6 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 STAGES = [
     ("language_id", identify_language),
     ("ngram_jaccard_join", drop_near_copies),
