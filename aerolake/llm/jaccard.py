@@ -284,6 +284,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     active = stored(found.select("cid").distinct().join(classes, "cid").join(
         signed.select(F.col("row").alias("first_row"), "key", "text_hash", "classes"), "first_row"), "active")
+    # The counts by class are the bulk of the signatures, and the active ones have them.
+    read, signed = signed, stored(signed.select("key", "text_hash", *prints), "keys")
+    discard(read)
+
     # Joined by key and text; a repeated row is one text, found in the join's own partitions.
     place = [F.coalesce("key", F.lit(0)).alias("k"), F.col("key").isNull().alias("null_key"), "text_hash"]
     named = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
