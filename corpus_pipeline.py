@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without a shingle have no links and stay.
     """
-    rows = stored(_held(docs).withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    rows = stored(_held(docs).withColumn("row", F.monotonically_increasing_id()), "numbered-documents", "zstd")
     texts = rows.select("row", F.col("doc.text").alias("text"))
     linked = jaccard.join(texts, key="row", text="text", width=5, percent=80).select("row", F.col("component_id").alias("group"))
     ids = rows.select("row", F.col("doc.doc_id").alias("doc_id")).join(linked, "row")
