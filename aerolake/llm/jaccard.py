@@ -256,20 +256,28 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
     # A strip is done if it and its neighbours lie in one component.
     around = strips.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
         F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("pivot", "strip")
-    sizes = stored(strips.select("pivot", "strip", "m").join(around, ["pivot", "strip"]), "open-strips")
+    still_open = strips.select("pivot", "strip", "m").join(around, ["pivot", "strip"])
+    # Strips of one block without a neighbour meet nobody but themselves, and need no join.
+    by_strip = Window.partitionBy("pivot").orderBy("strip")
+    has_next, has_last = (F.coalesce(gap == 1, F.lit(False)) for gap in (
+        F.lead("strip").over(by_strip) - F.col("strip"), F.col("strip") - F.lag("strip").over(by_strip)))
+    sizes = stored(still_open.withColumn("has_next", has_next).withColumn("alone", (F.col("m") <= block) & ~has_next & ~has_last), "open-strips")
     rows = rows.join(sizes, ["pivot", "strip"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / block)).cast("long"))
     rows = rows.join(counts, "cid")
     blocks = stored(rows.groupBy("pivot", "strip", "block").agg(
         F.collect_list(F.struct("cid", "n", "component", "near", "far", "classes")).alias("side"),  # about ``block`` rows
-        F.min("component").alias("low"), F.max("component").alias("high")), "blocks")
-    first_blocks = blocks.where("block = 0") if busiest else blocks
-    left = first_blocks.select("pivot", F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"), F.col("strip").alias("own"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.max("has_next").alias("has_next"), F.max("alone").alias("alone")), "blocks")
+    met = blocks.where("NOT alone")
+    first_blocks = met.where("block = 0") if busiest else met
+    partners = F.when(F.col("has_next"), F.array("strip", F.col("strip") + 1)).otherwise(F.array("strip"))
+    left = first_blocks.select("pivot", F.explode(partners).alias("strip"), F.col("strip").alias("own"),
                          F.col("block").alias("block_a"), F.col("side").alias("left"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-    right = blocks.select("pivot", "strip", F.col("block").alias("block_b"), F.col("side").alias("right"), "low", "high")
+    right = met.select("pivot", "strip", F.col("block").alias("block_b"), F.col("side").alias("right"), "low", "high")
     pairs = left.join(right, ["pivot", "strip"]).where(
         ((F.col("own") < F.col("strip")) | (F.col("block_a") <= F.col("block_b")))
         & ~((F.col("low") == F.col("high")) & (F.col("low_a") == F.col("low")) & (F.col("high_a") == F.col("high"))))
     pairs = pairs.select("left", "right", ((F.col("own") == F.col("strip")) & (F.col("block_a") == F.col("block_b"))).alias("same"))
+    pairs = pairs.unionByName(blocks.where("alone AND low < high").select(F.col("side").alias("left"), F.col("side").alias("right"), F.lit(True).alias("same")))
     return pairs.mapInArrow(_windows(percent, busiest), "a long, b long").distinct(), [strips, sizes, blocks]
 
 
