@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aerolake.plans import exploration
 
@@ -76,3 +77,21 @@ def test_no_rows_and_one_class(spark):
     ones = exploration.exploration_frame(spark.createDataFrame([(float(i), 1.0) for i in range(50)], "a double, y double"), ["a"], "y")
     scores = exploration.cross_validate(ones, ["a"], exploration.standardized_logistic, exploration.accuracy).collect()
     assert {r.score for r in scores} == {1.0}
+
+
+def test_a_frame_written_by_one_task_is_read_by_many(spark, monkeypatch):
+    monkeypatch.setattr(exploration, "FILE_ROWS", 1_000)
+    df = spark.range(8_000).coalesce(1).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 2 AS DOUBLE) AS y")
+    frame = exploration.exploration_frame(df, ["a"], "y")
+    assert frame.count() == 8_000 and len(frame.inputFiles()) == 8
+    assert max(r["count"] for r in frame.groupBy(F.input_file_name()).count().collect()) <= 1_000
+
+
+def test_first_newton_step_needs_no_pass(spark, monkeypatch):
+    frame, names = frame_of(spark)
+    passes = []
+    total = exploration.FoldSums.total
+    monkeypatch.setattr(exploration.FoldSums, "total", lambda self, *a: passes.append(1) or total(self, *a))
+    monkeypatch.setattr(exploration, "NEWTON_STEPS", 1)
+    exploration.fit_logistic(frame, names)
+    assert len(passes) == 2  # the moments, and the loss after the step
