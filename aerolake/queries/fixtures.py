@@ -15,6 +15,8 @@ from aerolake.config import FlightConfig
 from aerolake.sources.workspace import shared_folder
 
 AS_OF = dt.date(2000, 1, 1)
+#: About as many rows as a task that stages flights gets, at most.
+STAGED_ROWS = 1_000_000
 
 # The derivation of each flight column.
 FLIGHT_EXPRESSIONS = {
@@ -70,13 +72,14 @@ def flights(spark: SparkSession, sf_dir: str, staging: bool = False) -> DataFram
     """The flight rows; ``staging`` is for queries that first write them out.
 
     The test tables are one row group each, which a single task would read and
-    write, so staging spreads a table of fewer files than cores.  A table of
+    write, so staging spreads a table of fewer files than cores, over more tasks the
+    more rows it has: a partitioned write sorts its task's rows in memory.  A table of
     many files is left as it is.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism
     if staging and len(lineitem.inputFiles()) < cores:
-        lineitem = lineitem.repartition(cores, "l_orderkey")
+        lineitem = lineitem.repartition(max(cores, -(-lineitem.count() // STAGED_ROWS)), "l_orderkey")
     return lineitem.selectExpr(*(f"{e} AS {c}" for c, e in FLIGHT_EXPRESSIONS.items()))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from aerolake import schema
 from aerolake.operators import registry
+from aerolake.queries import fixtures
 from aerolake.sources import sinks, state, tables
 from aerolake.sources.workspace import shared_folder
 from helpers import DAY, days, flight, flights_frame
@@ -150,3 +151,14 @@ def test_shared_folder_is_under_the_configured_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(base) and shared_folder(spark, "x") != shared_folder(spark, "x")
     assert not os.path.exists(shared_folder(spark, "x"))
+
+
+def test_staging_spreads_more_rows_over_more_tasks(spark, tmp_path, monkeypatch):
+    lines = spark.range(600).coalesce(1).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "1D AS l_quantity", "1D AS l_extendedprice",
+        "0D AS l_discount", "0D AS l_tax", "'A' AS l_returnflag", "'F' AS l_linestatus", "TIMESTAMP '2000-01-01' AS l_shipdate")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(fixtures, "STAGED_ROWS", 20)
+    staged = fixtures.flights(spark, str(tmp_path), staging=True)
+    assert staged.rdd.getNumPartitions() == 30
+    assert staged.exceptAll(fixtures.flights(spark, str(tmp_path))).isEmpty() and staged.count() == 600
