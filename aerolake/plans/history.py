@@ -56,6 +56,7 @@ def load_history(spark: SparkSession, source: str, target_path: str, level: str
     staged = spark.read.schema(rows.schema).parquet(staging)
     counts = staged.where("source_year IS NOT NULL").groupBy("source_file", "source_year").agg(F.count("*").alias("n"))
     modal = counts.groupBy("source_file").agg(F.max_by("source_year", F.struct("n", -F.col("source_year"))).alias("source_year"))
-    kept = staged.join(modal, ["source_file", "source_year"], "left_semi").select(*FLIGHT_COLUMNS)
+    # One row a file, and the driver lists the files anyhow: broadcast, so that no row is shuffled.
+    kept = staged.join(F.broadcast(modal), ["source_file", "source_year"], "left_semi").select(*FLIGHT_COLUMNS)
     sinks.write_by_year(kept, target_path, date_col)
     files.remove(spark, staging)
