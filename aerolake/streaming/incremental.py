@@ -36,7 +36,8 @@ def incremental_ingest(spark: SparkSession, source: str, table: str, checkpoint:
     ``identity`` tells when two files are one: by ``"path"`` (a file written anew
     replaces its rows on the days it has), or by ``"content"`` (the same rows in any
     order, for sources that send a file again under another name; two files that
-    happen to hold equal rows are then one file too).
+    happen to hold equal rows are then one file too).  Without a ``transform`` a file whose
+    content is stored is left out of its batch, and its days are not written again for it.
 
     A batch is first written as whole merged days beside the table and then moves
     into it by replacing those days.  A run that dies in between is completed by the
@@ -61,8 +62,12 @@ def incremental_ingest(spark: SparkSession, source: str, table: str, checkpoint:
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_identity(batch, identity)
         rows = transform(rows.drop("_source")) if transform else rows.drop("_source")
-        merged = merge_days(rows, read_if_exists(batch.sparkSession, table, rows.schema), date_col)
-        if not merged.isEmpty():
+        stored = read_if_exists(batch.sparkSession, table, rows.schema)
+        if identity == "content" and not transform:
+            # A stored identity stands for these very rows, and its days were published when they came.
+            rows = rows.join(F.broadcast(stored.select(F.col(FILE).alias("_file")).distinct()), F.col(FILE) == F.col("_file"), "left_anti")
+        merged = merge_days(rows, stored, date_col)
+        if not rows.isEmpty():
             sinks.write_snapshot(merged, pending)
             publish()
 
@@ -82,7 +87,7 @@ def with_identity(batch: DataFrame, identity: str) -> DataFrame:
     row = _row_hash([c for c in batch.columns if c != "_source"])
     prints = batch.groupBy("_source").agg(F.concat_ws(
         ":", F.count(F.lit(1)).cast("string"), F.sum(row.cast("decimal(38,0)")).cast("string"), F.bit_xor(F.xxhash64(row)).cast("string")).alias(FILE))
-    return batch.join(prints, "_source")
+    return batch.join(F.broadcast(prints), "_source")
 
 
 def _row_hash(columns: list[str]) -> Column:
@@ -93,12 +98,12 @@ def _row_hash(columns: list[str]) -> Column:
 def merge_days(rows: DataFrame, stored: DataFrame, date_col: str) -> DataFrame:
     """The days of ``rows`` as they are afterwards: ``rows``, and what other files have stored there.
 
-    Days and files of a batch are few against the rows, and adaptive execution
-    broadcasts them by their measured size; the days prune the stored folders.
+    Days and files are folders and files that the driver lists anyhow, so they are broadcast and
+    no row is shuffled for the joins; the days prune the stored folders.
     """
     days, seen = rows.select(F.col(date_col).alias("_day")).distinct(), rows.select(F.col(FILE).alias("_file")).distinct()
-    others = (stored.join(days, F.col(date_col).eqNullSafe(F.col("_day")), "left_semi")
-              .join(seen, F.col(FILE) == F.col("_file"), "left_anti"))
+    others = (stored.join(F.broadcast(days), F.col(date_col).eqNullSafe(F.col("_day")), "left_semi")
+              .join(F.broadcast(seen), F.col(FILE) == F.col("_file"), "left_anti"))
     return rows.unionByName(others.select(*rows.columns))
 
 

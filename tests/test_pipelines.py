@@ -339,3 +339,34 @@ def test_history_files_of_one_name_are_judged_each_by_itself(spark, tmp_path):
     history.load_history(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     found = spark.read.parquet(str(tmp_path / "out")).groupBy("year").count().collect()
     assert sorted(r["count"] for r in found) == [2, 3]
+
+
+def test_a_file_whose_content_is_stored_rewrites_nothing(spark, tmp_path):
+    source, table = str(tmp_path / "in"), tmp_path / "out"
+    flights_frame(spark, [flight(number=i) for i in range(2)]).coalesce(1).write.parquet(source)
+    kept = []
+    for state_of in ("a", "b"):
+        incremental_ingest(spark, source, str(table), str(tmp_path / state_of), schema.FLIGHT, "FL_DATE", identity="content")
+        kept.append(sorted(p.name for p in table.rglob("*.parquet")))
+    assert kept[0] == kept[1]
+    flights_frame(spark, [flight(number=2)]).coalesce(1).write.mode("append").parquet(source)
+    incremental_ingest(spark, source, str(table), str(tmp_path / "c"), schema.FLIGHT, "FL_DATE", identity="content")
+    assert sorted(r.OP_CARRIER_FL_NUM for r in read_ingested(spark, str(table)).collect()) == [0, 1, 2]
+
+
+def test_history_rows_are_not_shuffled_for_their_years(spark, tmp_path, monkeypatch):
+    flights_frame(spark, [flight(number=i) for i in range(3)]).write.option("header", True).csv(str(tmp_path / "in"))
+    plans, write = [], sinks.write_by_year
+
+    def written(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *args)
+
+    monkeypatch.setattr(sinks, "write_by_year", written)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history.load_history(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
