@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.tokens import Encoder, slices_by_bytes, token_bytes
+from aerolake.llm.tokens import Encoder, shared_encoder, slices_by_bytes, token_bytes
 
 RULES = ("start", "majority", "fraction")
 
@@ -85,7 +85,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", secti
             x["name"].cast("string").alias("name"), x["start"].cast("long").alias("start"), x["end"].cast("long").alias("end"))).alias("sections"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sizes_of = Encoder(tokenizer), token_bytes(tokenizer)
+        encoder, sizes_of = shared_encoder(tokenizer), token_bytes(tokenizer)
         for batch in batches:
             for at, n in slices_by_bytes(batch.column(1)):  # keeps a slice's spans small
                 yield attribute(batch.slice(at, n), encoder, sizes_of)

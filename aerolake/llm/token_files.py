@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm.common import as_uri, small_batches, stored
 from aerolake.llm.huffman import CHECKPOINT, Decoder, canonical_codes, code_lengths, pack
-from aerolake.llm.tokens import Encoder, packed, slices_by_bytes
+from aerolake.llm.tokens import packed, shared_encoder, slices_by_bytes
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
@@ -42,7 +42,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     """Written table (key, tie, n, ids): each text's ids with the end id, as compressed u32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, squeeze = Encoder(tokenizer), zstandard.ZstdCompressor(level=3)
+        encoder, squeeze = shared_encoder(tokenizer), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for at, n in slices_by_bytes(batch.column(2)):
                 part = batch.slice(at, n)

@@ -387,6 +387,22 @@ def test_tokens_of_white_space_runs_equal_the_library():
 
 # 10: token counts
 
+def test_words_are_encoded_once_whatever_stands_beside_them():
+    encoder = Encoder()
+    encoder.encode(pa.array(["cat cat, cat.\ncat cat's", "cat!\ncat"]))
+    assert set(encoder.places) == {"cat", " cat", ",", ".", "\n", "'s", "!"}
+
+
+def test_cut_texts_equal_the_library():
+    encoder, draw = Encoder(), random.Random(9)
+    parts = ["a", "Zx", "'s", "'", "don't", "'LL", "é", "ß", "\u0301", "ª", "日", "٠", "1", "23", "²", ".", ",", "_", "-", "’", "(", "\n", "\n", "\r", "\t",
+             " ", " ", " ", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u3000", "\u200b", "<|endoftext|>"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(16))) for _ in range(4000)] + [f"naïve{i} größer{i}, {i:x}" for i in range(1000)] + ["", None, " ", "\n"]
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    expected = [e.ids for e in encoder.library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts_add_up(spark, edge, rule):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
