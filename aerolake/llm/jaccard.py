@@ -14,12 +14,14 @@ distance is a metric, and the join works by pivots and regions:
   every member is computed exactly from the texts, and linked members form
   components.
 * A region whose members lie in more than one component is joined recursively: it
-  is cut into blocks by set size, pairs of blocks whose sizes cannot match are
+  is one block if it is small, else cut into blocks by set size, pairs of blocks whose sizes cannot match are
   skipped, and in each pair the triangle inequality opens the windows: the distances
-  to the region's pivot may differ by the link distance at most, and the counts of
+  to the region's pivot may differ by the link distance at most, and the parities of the counts of
   shingles by class (distances to sets that part the universe, more of them for larger
   sets) by the largest possible difference.  Sets within all windows and in different components are
   compared exactly.
+* Near copies meet in many regions.  A set knows some crowded regions it lies in, those of the least pivots, and a
+  pair that has one in common is left to the first of them: it is found there once, not in every region.
 * The recursive join has two passes.  The first takes every set in its most crowded region only and
   compares the blocks with the region's first block, each set there with the candidate that has most
   candidates of its own: a number of pairs linear in the sets, which makes a large group of linked
@@ -50,13 +52,15 @@ from aerolake.llm.shingles import Shingler, mixed
 WIDTH, PERCENT = 3, 90
 #: Shingles whose hash lies in the lowest of so many equal parts are counted and come first, rarest first.
 COUNTED_PART = 8
-#: A set of n shingles is counted in about n / CLASS_SIZE classes, a power of two within these bounds.  Counts of unrelated
-#: sets then differ by more than half of n, and linked ones by 2 (1 - t) / (1 + t) of n at most: 0.22 n at t = 0.8.
-CLASS_SIZE, MIN_CLASSES, MAX_CLASSES = 4, 32, 1024
+#: A set of n shingles is counted in n to 2 n classes, a power of two within these bounds, and one bit a class is kept.
+#: Those of unrelated sets then differ in about half of n, and linked ones in 2 (1 - t) / (1 + t) of n at most: 0.22 n at t = 0.8.
+MIN_CLASSES, MAX_CLASSES = 64, 16384
 #: Members of a block in the recursive join.
 BLOCK = 256
-#: Class counts compared at once in a task.
-COUNTS_AT_ONCE = 1 << 22
+#: Regions of more members are crowded; a set knows so many of its crowded regions.
+CROWDED, CROWDS = 32, 6
+#: Words of 64 classes compared at once in a task.
+WORDS_AT_ONCE = 1 << 19
 #: Pairs handed to Spark at once, and pairs of blocks handed to Python at once.
 PAIRS_AT_ONCE, BLOCKS_AT_ONCE = 1 << 17, 128
 
@@ -67,15 +71,31 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def class_counts(found: np.ndarray) -> bytes:
-    """Shingles per class, one byte each; counts above 255 are 255, which never widens a difference."""
-    classes = min(MAX_CLASSES, max(MIN_CLASSES, 1 << (len(found) // CLASS_SIZE).bit_length()))
-    return np.minimum(np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8).tobytes()
+def class_bits(found: np.ndarray) -> bytes:
+    """Whether the shingles of each class are odd in number, one bit each."""
+    classes = min(MAX_CLASSES, max(MIN_CLASSES, 1 << len(found).bit_length()))
+    return np.packbits(np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8) & 1).tobytes()
 
 
-def folded(counts: list[bytes], classes: int) -> np.ndarray:
-    """Rows of counts brought to ``classes`` classes: those with equal low bits are added up."""
-    return np.array([np.frombuffer(c, np.uint8).reshape(-1, classes).sum(axis=0, dtype=np.int32) for c in counts])
+def folded(bits: list[bytes], n_bytes: int) -> np.ndarray:
+    """Rows of bits brought to ``n_bytes``, as 64-bit words: classes with equal low bits are added up."""
+    return np.array([np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, n_bytes), axis=0) for b in bits]).view(np.uint64)
+
+
+def differing(left: list[bytes], right: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many classes the sets ``x`` of ``left`` and ``y`` of ``right`` differ for certain; the fewer classes of a pair count."""
+    out = np.zeros(len(x), np.int64)
+    size_x, size_y = (np.array([len(b) for b in side]) for side in (left, right))
+    size = np.minimum(size_x[x], size_y[y])
+    for n_bytes in np.unique(size).tolist():
+        pairs = np.flatnonzero(size == n_bytes)
+        (of_x, x_at), (of_y, y_at) = np.unique(x[pairs], return_inverse=True), np.unique(y[pairs], return_inverse=True)
+        one, other = (folded([side[i] for i in used.tolist()], n_bytes) for side, used in ((left, of_x), (right, of_y)))
+        step = max(1, WORDS_AT_ONCE * 8 // n_bytes)
+        for at in range(0, len(pairs), step):
+            found = np.bitwise_count(one[x_at[at:at + step]] ^ other[y_at[at:at + step]])
+            out[pairs[at:at + step]] = found.sum(axis=1, dtype=np.int64)
+    return out
 
 
 def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -95,7 +115,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
                 marks = mixed(found)
                 rows.append((n, int(np.bitwise_xor.reduce(marks).view(np.int64)), int(marks.sum(dtype=np.uint64).view(np.int64)), counted,
                              (kept ^ np.uint64(1 << 63)).view(np.int64),
-                             class_counts(found)))
+                             class_bits(found)))
             columns = list(zip(*rows)) or [[]] * 6
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
@@ -193,29 +213,26 @@ def _windows(percent: int, busiest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = percent / 100
         for batch in batches:
-            (of_a, left), (of_b, right) = (_members(batch.column(i)) for i in (0, 1))
-            same = batch.column(2).to_pylist()
+            sides = [_members(batch.column(i)) for i in (0, 1)]
+            same, before = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             found, n_found = [], 0
             for i in range(batch.num_rows):
+                (of_a, left), (of_b, right) = sides[0], sides[0 if same[i] else 1]
                 a, b = slice(of_a[i], of_a[i + 1]), slice(of_b[i], of_b[i + 1])
                 n_a, n_b = left["n"][a][:, None], right["n"][b][None, :]
                 ok = (left["component"][a][:, None] != right["component"][b]) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
                 if same[i]:
                     ok &= left["cid"][a][:, None] < right["cid"][b]
                 ok &= np.maximum(left["near"][a][:, None] - right["far"][b], right["near"][b] - left["far"][a][:, None]) <= 1 - t + 1e-9
+                ok &= ~_met_before(left["crowds"], a, right["crowds"], b, before[i])
                 x, y = np.nonzero(ok)
                 if not len(x):
                     continue
                 both = n_a[x, 0] + n_b[0, y]
                 # Linked sets share at least t / (1 + t) of the sum of their sizes.
                 most = both - 2 * np.ceil(both * t / (1 + t) - 1e-9)
-                (ua, x_at), (ub, y_at) = np.unique(x, return_inverse=True), np.unique(y, return_inverse=True)
-                counts = [[side["classes"][int(k)].as_py() for k in start + used] for side, start, used in ((left, a.start, ua), (right, b.start, ub))]
-                classes = min(len(c) for side in counts for c in side)
-                k_a, k_b = (folded(side, classes) for side in counts)
-                step = max(1, COUNTS_AT_ONCE // classes)
-                keep = np.concatenate([np.abs(k_a[x_at[at:at + step]] - k_b[y_at[at:at + step]]).sum(axis=1) <= most[at:at + step]
-                                       for at in range(0, len(x), step)])
+                bits = [side["classes"][k].to_pylist() for side, k in ((left, a), (right, b))]
+                keep = differing(*bits, x, y) <= most
                 one, other = left["cid"][a][x[keep]], right["cid"][b][y[keep]]
                 if busiest and len(one):
                     chosen = _to_busiest(one, other)
@@ -235,7 +252,27 @@ def _members(column: pa.ListArray) -> tuple[np.ndarray, dict]:
     """(bounds of each row's members, their columns) of a column of lists of members."""
     values = column.values
     fields = {f.name: values.field(i) for i, f in enumerate(values.type)}
-    return column.offsets.to_numpy(), {k: v if k == "classes" else v.to_numpy(zero_copy_only=False) for k, v in fields.items()}
+    return column.offsets.to_numpy(), {k: v if k in ("classes", "crowds") else v.to_numpy(zero_copy_only=False) for k, v in fields.items()}
+
+
+def _met_before(left: pa.ListArray, a: slice, right: pa.ListArray, b: slice, before: int | None) -> np.ndarray:
+    """Which pairs of members of two blocks know a crowded region in common, one of a pivot below ``before`` if that is given."""
+    known = []
+    for lists, rows in ((left, a), (right, b)):
+        bounds = lists.offsets.to_numpy()[rows.start:rows.stop + 1]
+        pivots = lists.values.to_numpy()[bounds[0]:bounds[-1]]
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        earlier = slice(None) if before is None else pivots < before
+        known.append((pivots[earlier], owner[earlier], len(bounds) - 1))
+    (p, of_p, n_a), (q, of_q, n_b) = known
+    shared = np.intersect1d(p, q)
+    held = []
+    for pivots, owner, n in known:
+        marks = np.zeros((n, len(shared)), np.float32)
+        inside = np.isin(pivots, shared)
+        marks[owner[inside], np.searchsorted(shared, pivots[inside])] = 1
+        held.append(marks)
+    return held[0] @ held[1].T > 0
 
 
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -244,7 +281,7 @@ def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int, busiest: bool) -> tuple[DataFrame, list[DataFrame]]:
-    """Pairs (a, b), and the tables they are read from, inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, ``counts`` cid and classes.
+    """Pairs (a, b), and the tables they are read from, inside regions that pass the windows; ``members`` has pivot, cid, n, component, near, far, before, crowds, ``counts`` cid and classes.
 
     ``busiest`` compares all blocks with the first one only and keeps one pair a member.
     """
@@ -257,27 +294,30 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
     around = strips.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
         F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("pivot", "strip")
     still_open = strips.select("pivot", "strip", "m").join(around, ["pivot", "strip"])
-    # Strips of one block without a neighbour meet nobody but themselves, and need no join.
-    by_strip = Window.partitionBy("pivot").orderBy("strip")
-    has_next, has_last = (F.coalesce(gap == 1, F.lit(False)) for gap in (
-        F.lead("strip").over(by_strip) - F.col("strip"), F.col("strip") - F.lag("strip").over(by_strip)))
-    sizes = stored(still_open.withColumn("has_next", has_next).withColumn("alone", (F.col("m") <= block) & ~has_next & ~has_last), "open-strips")
-    rows = rows.join(sizes, ["pivot", "strip"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / block)).cast("long"))
-    rows = rows.join(counts, "cid")
-    blocks = stored(rows.groupBy("pivot", "strip", "block").agg(
-        F.collect_list(F.struct("cid", "n", "component", "near", "far", "classes")).alias("side"),  # about ``block`` rows
-        F.min("component").alias("low"), F.max("component").alias("high"), F.max("has_next").alias("has_next"), F.max("alone").alias("alone")), "blocks")
-    met = blocks.where("NOT alone")
-    first_blocks = met.where("block = 0") if busiest else met
+    # Regions of one block meet nobody but themselves, and need no join.
+    in_region = Window.partitionBy("pivot")
+    has_next = F.coalesce(F.lead("strip").over(in_region.orderBy("strip")) - F.col("strip") == 1, F.lit(False))
+    sizes = stored(still_open.withColumn("has_next", has_next).withColumn("small", F.sum("m").over(in_region) <= block), "open-strips")
+    rows = rows.join(sizes, ["pivot", "strip"])
+    member = F.struct("cid", "n", "component", "near", "far", "classes", "crowds")
+    side = [F.collect_list(member).alias("side"), F.min("component").alias("low"), F.max("component").alias("high"), F.first("before").alias("before")]
+    whole = rows.where("small").join(counts, "cid").groupBy("pivot").agg(*side).where("low < high")
+    rows = rows.where("NOT small").withColumn("block", F.pmod(F.xxhash64("cid"), F.ceil(F.col("m") / block)).cast("long"))
+    # About ``block`` rows each.
+    blocks = stored(rows.join(counts, "cid").groupBy("pivot", "strip", "block").agg(*side, F.max("has_next").alias("has_next")), "blocks")
+    first_blocks = blocks.where("block = 0") if busiest else blocks
     partners = F.when(F.col("has_next"), F.array("strip", F.col("strip") + 1)).otherwise(F.array("strip"))
-    left = first_blocks.select("pivot", F.explode(partners).alias("strip"), F.col("strip").alias("own"),
+    left = first_blocks.select("pivot", F.explode(partners).alias("strip"), F.col("strip").alias("own"), "before",
                          F.col("block").alias("block_a"), F.col("side").alias("left"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-    right = met.select("pivot", "strip", F.col("block").alias("block_b"), F.col("side").alias("right"), "low", "high")
+    right = blocks.select("pivot", "strip", F.col("block").alias("block_b"), F.col("side").alias("right"), "low", "high")
     pairs = left.join(right, ["pivot", "strip"]).where(
         ((F.col("own") < F.col("strip")) | (F.col("block_a") <= F.col("block_b")))
         & ~((F.col("low") == F.col("high")) & (F.col("low_a") == F.col("low")) & (F.col("high_a") == F.col("high"))))
-    pairs = pairs.select("left", "right", ((F.col("own") == F.col("strip")) & (F.col("block_a") == F.col("block_b"))).alias("same"))
-    pairs = pairs.unionByName(blocks.where("alone AND low < high").select(F.col("side").alias("left"), F.col("side").alias("right"), F.lit(True).alias("same")))
+    # A block that meets itself is handed over once.
+    same = (F.col("own") == F.col("strip")) & (F.col("block_a") == F.col("block_b"))
+    pairs = pairs.select("left", F.when(~same, F.col("right")).alias("right"), same.alias("same"), "before")
+    none = F.lit(None).cast(blocks.schema["side"].dataType)
+    pairs = pairs.unionByName(whole.select(F.col("side").alias("left"), none.alias("right"), F.lit(True).alias("same"), "before"))
     return pairs.mapInArrow(_windows(percent, busiest), "a long, b long").distinct(), [strips, sizes, blocks]
 
 
@@ -292,7 +332,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     active = stored(found.select("cid").distinct().join(classes, "cid").join(
         signed.select(F.col("row").alias("first_row"), "key", "text_hash", "classes"), "first_row"), "active")
-    # The counts by class are the bulk of the signatures, and the active ones have them.
+    # The bits by class are the bulk of the signatures, and the active ones have them.
     read, signed = signed, stored(signed.select("key", "text_hash", *prints), "keys")
     discard(read)
 
@@ -325,9 +365,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         members = joined.join(several, "pivot")
         if busiest:
             crowded = members.groupBy("cid").agg(F.max(F.struct("m", "pivot")).alias("most")).select("cid", F.col("most.pivot").alias("pivot"))
-            members = members.join(crowded, ["cid", "pivot"], "left_semi")
+            members = members.join(crowded, ["cid", "pivot"], "left_semi").withColumn("crowds", F.array().cast("array<long>"))
+        else:
+            crowds = members.where(F.col("m") > CROWDED).groupBy("cid").agg(F.slice(F.sort_array(F.collect_set("pivot")), 1, CROWDS).alias("crowds"))
+            members = members.join(crowds, "cid", "left").withColumn("crowds", F.coalesce("crowds", F.array().cast("array<long>")))
+        members = members.withColumn("before", F.when(F.col("m") > CROWDED, F.col("pivot")))
         members = members.join(distance, ["leader", "cid"], "left").select(
-            "pivot", "cid", "n", "component", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
+            "pivot", "cid", "n", "component", "before", "crowds", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
         pairs, read = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest)
         with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
             pairs = stored(pairs, "window-pairs")

@@ -318,6 +318,28 @@ def test_jaccard_edge_cases(spark, edge):
     assert jaccard.join(edge.limit(0)).count() == 0
 
 
+def test_a_pair_of_many_crowded_regions_is_found_once():
+    members = [{"cid": i, "n": 100, "component": i, "near": 0.0, "far": 1.0, "classes": bytes(16), "crowds": [5, 9] if i < 40 else []} for i in range(42)]
+    kind = pa.list_(pa.struct([("cid", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("near", pa.float64()), ("far", pa.float64()),
+                               ("classes", pa.binary()), ("crowds", pa.list_(pa.int64()))]))
+    batch = pa.RecordBatch.from_arrays([pa.array([members] * 4, kind), pa.nulls(4, kind), pa.array([True] * 4), pa.array([5, 9, 11, None], pa.int64())],
+                                       ["left", "right", "same", "before"])
+    found = [p for out in jaccard._windows(90, False)([batch]) for p in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    everywhere = [p for p in combinations(range(42), 2) if p[1] >= 40]  # these know no region in common
+    assert sorted(found) == sorted([*combinations(range(40), 2), *everywhere * 4])
+
+
+def test_classes_differ_in_no_more_than_the_sets():
+    draw = np.random.default_rng(3)
+    universe = draw.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(draw.choice(universe, n)) for n in (1, 5, 60, 70, 400, 700, 2500, 2600)]
+    bits = [jaccard.class_bits(x) for x in sets]
+    x, y = (a.ravel() for a in np.meshgrid(range(8), range(8)))
+    differ = jaccard.differing(bits, bits, x, y)
+    assert (differ <= [len(np.setxor1d(sets[i], sets[j])) for i, j in zip(x, y)]).all() and (differ[x == y] == 0).all()
+    assert (differ[x != y] > 0).all()
+
+
 # 8: embeddings
 
 def brute_links(vectors, bound=0.98):
