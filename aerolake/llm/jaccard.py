@@ -11,7 +11,7 @@ distance is a metric, and the join works by pivots and regions:
   the first one it shares with a partner: these regions get a replica of A.  Linked
   sets therefore meet in a region, and a region of one set is dropped.
 * A region is joined by a pivot of its own, its least set: the pivot's distance to
-  every member is computed exactly from the texts, and linked members form
+  every member is computed exactly from the texts if their parities (below) admit a link, else bounded by them, and linked members form
   components.
 * A region whose members lie in more than one component is joined recursively: it
   is one block if it is small, else cut into blocks by set size, pairs of blocks whose sizes cannot match are
@@ -71,6 +71,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _strip(n, percent: int):
+    """Class of a set size: a power of 1 / t, so that only sets of one class or of neighbouring ones can link."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9)).cast("long")
+
+
 def class_bits(found: np.ndarray) -> bytes:
     """Whether the shingles of each class are odd in number, one bit each."""
     classes = min(MAX_CLASSES, max(MIN_CLASSES, 1 << len(found).bit_length()))
@@ -127,7 +132,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
 
 
 def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Written rows (pivot, cid, n, leader, n_leader): the regions each class lies in, and only regions of two and more."""
+    """Written rows (pivot, cid, n, leader, n_leader): the regions each class lies in, without those where nobody can link with it."""
     owner = classes.select("cid", "first_row").hint("shuffle_hash")
     sets = stored(signed.join(owner, signed["row"] == owner["first_row"]).select("cid", "n", "n_counted", "prefix"), "prefixes", "zstd")
     shared = stored(sets.select(F.explode("prefix").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-pivots")
@@ -140,28 +145,61 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             pivots = batch.column(3).flatten().to_numpy()
             kept = np.flatnonzero(passes(held.value, pivots.view(np.uint64)))
             row = np.searchsorted(offsets - offsets[0], kept, "right") - 1
-            counted = kept - (offsets - offsets[0])[row] < batch.column(2).to_numpy()[row]
+            at = kept - (offsets - offsets[0])[row]
+            counted = at < batch.column(2).to_numpy()[row]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(pa.array(row)) for i in range(3)), pa.array(counted), pa.array(pivots[kept])],
-                ["cid", "n", "n_counted", "counted", "pivot"])
+                [*(batch.column(i).take(pa.array(row)) for i in range(3)), pa.array(counted), pa.array(at), pa.array(pivots[kept])],
+                ["cid", "n", "n_counted", "counted", "at", "pivot"])
 
-    found = sets.mapInArrow(may_be_shared, "cid long, n long, n_counted long, counted boolean, pivot long").join(shared, "pivot")
+    found = sets.mapInArrow(may_be_shared, "cid long, n long, n_counted long, counted boolean, at long, pivot long").join(shared, "pivot")
     # A class's unshared counted shingles come first in the order and need no region.
     own = Window.partitionBy("cid")
     alone = F.col("n_counted") - F.sum(F.col("counted").cast("int")).over(own)
     place = F.row_number().over(own.orderBy(F.col("counted").desc(), "df", "pivot"))
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    rows = found.withColumn("alone", alone).withColumn("order", place).where(
-        ~F.col("counted") | (F.col("alone") + F.col("order") <= length)).select("pivot", "cid", "n")
-    rows = stored(rows, "region-rows")
-    lively = rows.groupBy("pivot").agg(F.min(F.struct("cid", "n")).alias("first"), F.max("cid").alias("other")).where("first.cid < other")
-    lively = lively.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
-    regions = stored(rows.join(lively, "pivot"), "regions")
-    discard(sets, shared, rows)
+    # The others follow by their hash.
+    rows = found.withColumn("place", F.when(F.col("counted"), alone + place).otherwise(F.col("at") + 1)).where(
+        ~F.col("counted") | (F.col("place") <= length))
+    # Of two linked sets the smaller has 2 t / (1 + t) of itself at least from their first common pivot on.
+    early = F.col("place") <= F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1
+    rows = stored(rows.select("pivot", "cid", "n", early.alias("early"), _strip(F.col("n"), percent).alias("strip")), "region-rows")
+    matched = stored(_matched(rows, percent), "matched-rows")
+    leaders = matched.groupBy("pivot").agg(F.min(F.struct("cid", "n")).alias("first"))
+    leaders = leaders.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
+    regions = stored(matched.join(leaders, "pivot"), "regions")
+    discard(sets, shared, rows, matched)
     release(signed.sparkSession)
     return regions
 
 
+def _matched(rows: DataFrame, percent: int) -> DataFrame:
+    """(pivot, cid, n) of the ``rows`` whose region has a set that can link with theirs and meet it there first.
+
+    Sizes must match, and the smaller set must lie there early.  A set is early or late for itself, so that both
+    sets of a pair stay in the first region they share; which other regions it stays in does not matter.
+    """
+    early = F.when(F.col("early"), F.col("n"))
+    late = F.when(~F.col("early"), F.col("n"))
+    strips = rows.groupBy("pivot", "strip").agg(
+        F.count(F.lit(1)).alias("m"), F.count(early).alias("m_early"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min(early).alias("low_early"), F.max(early).alias("high_early"), F.max(late).alias("high_late"))
+    # A region's strips are few.
+    by_size = Window.partitionBy("pivot").orderBy("strip")
+    below = F.when(F.lag("strip").over(by_size) == F.col("strip") - 1, F.lag("high_early").over(by_size))
+    above = F.when(F.lead("strip").over(by_size) == F.col("strip") + 1, F.lead("low").over(by_size))
+    strips = strips.withColumn("below", below).withColumn("above", above)
+    # Strips without any partner go before their rows are joined.
+    inside = (F.col("m") > 1) & (F.col("m_early") > 0)
+    from_below = F.col("below") * 100 >= F.col("low") * percent
+    from_above = (F.col("high_early") * 100 >= F.col("above") * percent)
+    strips = strips.where(inside | F.coalesce(from_below, F.lit(False)) | F.coalesce(from_above, F.lit(False))).select(
+        "pivot", "strip", "m_early", "low_early", "high_late", "below", "above")
+    larger = (F.col("low_early") <= F.col("n")) & (~F.col("early") | (F.col("m_early") > 1)) | (F.col("below") * 100 >= F.col("n") * percent)
+    smaller = F.col("early") & ((F.col("m_early") > 1) | (F.col("high_late") >= F.col("n")) | (F.col("n") * 100 >= F.col("above") * percent))
+    met = F.coalesce(larger, F.lit(False)) | F.coalesce(smaller, F.lit(False))
+    return rows.join(strips, ["pivot", "strip"]).where(met).select("pivot", "cid", "n")
+
+
 def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Written rows (a, b, common, total): sizes of intersection and union of each pair's sets."""
 
@@ -191,6 +229,33 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return found
 
 
+def _most_apart(both: np.ndarray, percent: int) -> np.ndarray:
+    """In how many shingles linked sets of so many together can differ: they share at least t / (1 + t) of the sum."""
+    t = percent / 100
+    return both - 2 * np.ceil(both * t / (1 + t) - 1e-9)
+
+
+def parted(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Written rows (a, b, apart, may_link): a least distance of each pair's sets, by the parities of their classes, and whether it admits a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            place = np.arange(batch.num_rows)
+            differ = differing(batch.column(4).to_pylist(), batch.column(5).to_pylist(), place, place)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(2 * differ / (both + differ)), pa.array(differ <= _most_apart(both, percent))],
+                ["a", "b", "apart", "may_link"])
+
+    # Written, so that Spark sees how few they are.
+    pairs = stored(pairs, "pairs")
+    joined = pairs.join(counts.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("classes").alias("classes_a")), "a").join(
+        counts.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("classes").alias("classes_b")), "b")
+    found = stored(joined.select("a", "b", "n_a", "n_b", "classes_a", "classes_b").mapInArrow(run, "a long, b long, apart double, may_link boolean"), "parted")
+    discard(pairs)
+    return found
+
+
 def _size_window(a, b, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
@@ -229,10 +294,8 @@ def _windows(percent: int, busiest: bool):
                 if not len(x):
                     continue
                 both = n_a[x, 0] + n_b[0, y]
-                # Linked sets share at least t / (1 + t) of the sum of their sizes.
-                most = both - 2 * np.ceil(both * t / (1 + t) - 1e-9)
                 bits = [side["classes"][k].to_pylist() for side, k in ((left, a), (right, b))]
-                keep = differing(*bits, x, y) <= most
+                keep = differing(*bits, x, y) <= _most_apart(both, percent)
                 one, other = left["cid"][a][x[keep]], right["cid"][b][y[keep]]
                 if busiest and len(one):
                     chosen = _to_busiest(one, other)
@@ -287,8 +350,7 @@ def _block_pairs(members: DataFrame, counts: DataFrame, percent: int, block: int
     """
     # Members by size are cut into blocks; a region's rows are numbered by their size class first, so that
     # no task sorts a region: the class is a power of 1 / t, and only neighbouring classes can link.
-    strip = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9))
-    rows = members.withColumn("strip", strip.cast("long"))
+    rows = members.withColumn("strip", _strip(F.col("n"), percent))
     strips = stored(rows.groupBy("pivot", "strip").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")), "strips")
     # A strip is done if it and its neighbours lie in one component.
     around = strips.withColumn("strip", F.explode(F.array(F.col("strip") - 1, F.col("strip"), F.col("strip") + 1))).groupBy("pivot", "strip").agg(
@@ -338,7 +400,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     # Joined by key and text; a repeated row is one text, found in the join's own partitions.
     place = [F.coalesce("key", F.lit(0)).alias("k"), F.col("key").isNull().alias("null_key"), "text_hash"]
+    held = bit_filter(active.select("text_hash"))
+
+    @F.arrow_udf("boolean")
+    def may_be_active(hashes: pa.Array) -> pa.Array:
+        return pa.array(passes(held.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
     named = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    # Only texts that are compared are moved, and a few beside them.
+    named = named.where(may_be_active("text_hash"))
     at = ["k", "null_key", "text_hash"]
     texts = named.select(*place, "text").join(active.select(*place, "cid"), at).groupBy(*at, "cid").agg(F.first("text").alias("text"))
     texts = stored(texts.select("cid", "text"), "active-texts", "zstd")
@@ -346,17 +416,21 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     # Round 1: every region's own pivot against its members.
     stars = found.where((F.col("cid") != F.col("leader")) & _size_window(F.col("n"), F.col("n_leader"), percent))
-    first = compared(stars.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), texts, width)
+    apart = parted(stars.select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct(), active.select("cid", "n", "classes"), percent)
+    first = compared(apart.where("may_link").select("a", "b"), texts, width)
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = first.where(linked).select("a", "b")
     named_by = components(links)
     release(docs.sparkSession)
 
     # Round 2: what is left of the regions with several components, the pivot itself being done.
-    distance = first.select(F.col("a").alias("leader"), F.col("b").alias("cid"), (1 - F.col("common") / F.col("total")).alias("d"))
+    exact = (1 - F.col("common") / F.col("total")).alias("d")
+    distance = first.select("a", "b", exact, exact.alias("apart")).unionByName(
+        apart.where("NOT may_link").select("a", "b", F.lit(None).cast("double").alias("d"), "apart"))
+    distance = distance.select(F.col("a").alias("leader"), F.col("b").alias("cid"), "d", "apart")
     # Where sizes alone exclude a link the distance is only known to be at least 1 - smaller / larger.
     at_least = 1 - F.least("n", "n_leader") / F.greatest("n", "n_leader")
-    done = first.select("a", "b")
+    done, written = first.select("a", "b"), [first, apart]
     for busiest in (True, False):
         joined = found.where("cid <> leader").join(named_by, F.col("cid") == F.col("node"), "left").withColumn(
             "component", F.coalesce("component", "cid")).drop("node")
@@ -371,7 +445,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
             members = members.join(crowds, "cid", "left").withColumn("crowds", F.coalesce("crowds", F.array().cast("array<long>")))
         members = members.withColumn("before", F.when(F.col("m") > CROWDED, F.col("pivot")))
         members = members.join(distance, ["leader", "cid"], "left").select(
-            "pivot", "cid", "n", "component", "before", "crowds", F.coalesce("d", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
+            "pivot", "cid", "n", "component", "before", "crowds", F.coalesce("apart", at_least).alias("near"), F.coalesce("d", F.lit(1.0)).alias("far"))
         pairs, read = _block_pairs(members, active.select("cid", "classes"), percent, block, busiest)
         with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
             pairs = stored(pairs, "window-pairs")
@@ -381,12 +455,17 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         discard(pairs)
         done = done.unionByName(second.select("a", "b"))
         known = named_by.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        written += [second, named_by]
         named_by = components(known.unionByName(second.where(linked).select("a", "b")))
 
     # A component is named by the least key of its classes.
     member = classes.join(named_by, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid"))
     least = member.groupBy("component").agg(F.min("least_key").alias("component_id"))
     named_class = stored(member.select(*prints, "cid", "component").join(least, "component").select(*prints, "cid", "component_id"), "class-names")
+    # What the result does not read goes, the texts and bits above all.
+    discard(classes, found, active, texts, named_by, *written)
+    held.destroy()
+    release(docs.sparkSession)
     return signed.select("key", "text_hash", *prints).join(named_class, prints, "left").select(
         F.col("key").alias(key), "text_hash", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))

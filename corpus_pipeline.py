@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import decontamination, jaccard, language, mixing, token_files
-from aerolake.llm.common import stored, table
+from aerolake.llm.common import discard, release, stored, table
 from aerolake.sources.workspace import shared_folder
 
 
@@ -39,8 +39,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ids = rows.select("row", F.col("doc.doc_id").alias("doc_id")).join(linked, "row")
     # Null ids come last; equal ids are told apart by the row.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    kept = stored(ids.groupBy("group").agg(first).select(F.col("first.row").alias("row")), "kept-rows")
-    return rows.join(kept, "row", "left_semi").select("doc.*")
+    kept = ids.groupBy("group").agg(first).select(F.col("first.row").alias("row"))
+    # One bit a row, 64 rows a word: small enough to go to the rows, which then need not move.
+    bit = F.expr("shiftleft(1L, CAST(row & 63 AS INT))")
+    words = stored(kept.groupBy(F.shiftright("row", 6).alias("word")).agg(F.bit_or(bit).alias("bits")), "kept-rows")
+    return rows.join(F.broadcast(words), (F.shiftright("row", 6) == F.col("word")) & (F.col("bits").bitwiseAND(bit) != 0), "left_semi").select("doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +62,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, read back: one row per copy of a document."""
     folder = shared_folder(spark, "pipeline-tokens")
-    index = token_files.write_files(token_files.encode(docs), folder)
+    encoded = token_files.encode(docs)
+    index = token_files.write_files(encoded, folder)
+    # The files have all that is in them.
+    discard(encoded)
+    release(spark)
     return token_files.read_files(index, folder).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

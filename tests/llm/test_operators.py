@@ -1,5 +1,7 @@
 """The training-data operators against plain Python, on the small tables and on edge cases."""
 
+import glob
+import os
 import binascii
 import hashlib
 import base64
@@ -318,6 +320,22 @@ def test_jaccard_edge_cases(spark, edge):
     assert jaccard.join(edge.limit(0)).count() == 0
 
 
+def test_regions_without_a_possible_pair_are_dropped(spark):
+    # One shared word: sizes 4 and 400 cannot match, equal sizes that share it can.
+    docs = spark.createDataFrame([(1, "same b1 c1 d1"), (2, " ".join(["same", *(f"x{i}" for i in range(399))])),
+                                  (3, "other e1 f1 g1"), (4, "other e1 f1 g1 h1")], "doc_id long, text string")
+    signed = jaccard.signatures(docs, "doc_id", "text", 1, 80)
+    classes = jaccard.stored(signed.selectExpr("key AS cid", "n", "row AS first_row"), "test-classes")
+    assert {r.cid for r in jaccard.regions(signed, classes, 80).collect()} == {3, 4}
+
+
+def test_jaccard_leaves_only_what_its_result_reads(spark, edge):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{base}/*/*"))
+    jaccard.join(edge).collect()
+    assert {os.path.basename(p).rsplit("-", 1)[0] for p in set(glob.glob(f"{base}/*/*")) - before} == {"keys", "class-names"}
+
+
 def test_a_pair_of_many_crowded_regions_is_found_once():
     members = [{"cid": i, "n": 100, "component": i, "near": 0.0, "far": 1.0, "classes": bytes(16), "crowds": [5, 9] if i < 40 else []} for i in range(42)]
     kind = pa.list_(pa.struct([("cid", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("near", pa.float64()), ("far", pa.float64()),
