@@ -1,6 +1,7 @@
 """The pipeline's stages, each against plain Python on its own input."""
 
 import binascii
+import glob
 
 import numpy as np
 import public_tokenizers
@@ -67,6 +68,15 @@ def test_mix_and_tokens(outputs):
         start += len(ids)
 
 
+def test_encoded_texts_are_deleted_once_written(spark):
+    docs = spark.createDataFrame([(1, "one text", "en", "a", 0), (2, None, "en", "a", 0)], DOCS)
+    written = f"{spark.conf.get('spark.checkpoint.dir')}/*/token-ids-*"
+    before = set(glob.glob(written))
+    found = corpus_pipeline.write_tokens(spark, docs, SF)
+    assert set(glob.glob(written)) <= before
+    assert [r.doc_id for r in found.orderBy("start").collect()] == [1, 2]
+
+
 def test_edge_cases(spark):
     words = " ".join(f"term{i}" for i in range(40))
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0), (3, words, "en", "a", 0), (3, words, "en", "a", 0),
