@@ -9,10 +9,11 @@ distance is a metric, and the join works by pivots and regions:
   them A's home region.  Within the link distance a set can lose at most
   |A| - ceil(t |A|) shingles, so only A's first |A| - ceil(t |A|) + 1 pivots can be
   the first one it shares with a partner: these regions get a replica of A.  Linked
-  sets therefore meet in a region, and a region of one set is dropped.
+  sets therefore meet in a region, and a set leaves a region where no set of matching
+  size lies early enough for the two to meet there first.
 * A region is joined by a pivot of its own, its least set: the pivot's distance to
-  every member is computed exactly from the texts if their parities (below) admit a link, else bounded by them, and linked members form
-  components.
+  every member is computed exactly from the texts if their parities (below) admit a
+  link, else bounded by them, and linked members form components.
 * A region whose members lie in more than one component is joined recursively: it
   is one block if it is small, else cut into blocks by set size, pairs of blocks whose sizes cannot match are
   skipped, and in each pair the triangle inequality opens the windows: the distances
