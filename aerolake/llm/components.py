@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import discard, stored
+from aerolake.llm.common import discard, release, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -32,13 +32,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every linked node; the component is its least node.
 
     Each pass is a few joins and sums over the links and is written; a hub's links
-    are one row each, so adaptive execution can split them.
+    are one row each, so adaptive execution can split them. What a pass leaves in the
+    driver's memory goes before the next one.
     """
     links = stored(links.select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).where("high > low").distinct(), "links")
     mark = _mark(links)
     while mark[0]:
         read, links = links, stored(_small_star(_large_star(links)), "links")
         discard(read)
+        release(links.sparkSession)
         before, mark = mark, _mark(links)
         if before == mark:
             break

@@ -51,8 +51,9 @@ from aerolake.llm.components import components
 from aerolake.llm.shingles import Shingler, mixed
 
 WIDTH, PERCENT = 3, 90
-#: Shingles whose hash lies in the lowest of so many equal parts are counted and come first, rarest first.
-COUNTED_PART = 8
+#: Shingles with the lowest hashes are counted and come first, rarest first: so many for each place of a prefix.  A set finds
+#: its prefix among those that it shares with nobody, unless nearly half of what it has are common ones: these crowd no region.
+COUNTED_A_PLACE = 1.75
 #: A set of n shingles is counted in n to 2 n classes, a power of two within these bounds, and one bit a class is kept.
 #: Those of unrelated sets then differ in about half of n, and linked ones in 2 (1 - t) / (1 + t) of n at most: 0.22 n at t = 0.8.
 MIN_CLASSES, MAX_CLASSES = 64, 16384
@@ -72,6 +73,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def counted_limit(percent: int) -> np.uint64:
+    """The hash below which shingles are counted."""
+    return np.uint64(min((1 << 64) - 1, int((1 << 64) * max(0.125, COUNTED_A_PLACE * (1 - percent / 100)))))
+
+
 def _strip(n, percent: int):
     """Class of a set size: a power of 1 / t, so that only sets of one class or of neighbouring ones can link."""
     return F.floor(F.log(n.cast("double")) / F.lit(-np.log(percent / 100)) + F.lit(1e-9)).cast("long")
@@ -111,7 +117,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, percent: int) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, limit = Shingler(width), np.uint64((1 << 64) // COUNTED_PART)
+        shingler, limit = Shingler(width), counted_limit(percent)
         for batch in batches:
             rows = []
             for found in shingler.sets(batch.column(2)):
@@ -136,7 +142,10 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Written rows (pivot, cid, n, leader, n_leader): the regions each class lies in, without those where nobody can link with it."""
     owner = classes.select("cid", "first_row").hint("shuffle_hash")
     sets = stored(signed.join(owner, signed["row"] == owner["first_row"]).select("cid", "n", "n_counted", "prefix"), "prefixes", "zstd")
+    # Hashes do not compress: their shuffle goes before they are counted, and the counts' before regions are made.
+    release(signed.sparkSession)
     shared = stored(sets.select(F.explode("prefix").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-pivots")
+    release(signed.sparkSession)
     held = bit_filter(shared.select("pivot"))
 
     def may_be_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +178,7 @@ def regions(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     leaders = leaders.select("pivot", F.col("first.cid").alias("leader"), F.col("first.n").alias("n_leader"))
     regions = stored(matched.join(leaders, "pivot"), "regions")
     discard(sets, shared, rows, matched)
+    held.destroy()
     release(signed.sparkSession)
     return regions
 
