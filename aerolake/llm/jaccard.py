@@ -52,8 +52,8 @@ from aerolake.llm.shingles import Shingler, mixed
 
 WIDTH, PERCENT = 3, 90
 #: Shingles with the lowest hashes are counted and come first, rarest first: so many for each place of a prefix.  A set finds
-#: its prefix among those that it shares with nobody, unless nearly half of what it has are common ones: these crowd no region.
-COUNTED_A_PLACE = 1.75
+#: its prefix among those that it shares with nobody, unless a fifth of what it has are common ones: these crowd no region.
+COUNTED_A_PLACE = 1.25
 #: A set of n shingles is counted in n to 2 n classes, a power of two within these bounds, and one bit a class is kept.
 #: Those of unrelated sets then differ in about half of n, and linked ones in 2 (1 - t) / (1 + t) of n at most: 0.22 n at t = 0.8.
 MIN_CLASSES, MAX_CLASSES = 64, 16384
