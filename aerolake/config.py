@@ -27,7 +27,8 @@ class FlightConfig:
     """One run's settings; the defaults are the production ones.
 
     ``as_of`` pins "today", so a run can be repeated; ``None`` means the
-    current date.
+    current date.  ``max_train_size`` is a cap on the training rows for those who
+    ask for one; ``None`` means that a model is trained on all of them.
     """
 
     output_prefix: str = "hdfs:///flights"
@@ -37,7 +38,7 @@ class FlightConfig:
     target_column: str = "ARR_DELAY"
     required_columns: tuple[str, ...] = FLIGHT_COLUMNS
     input_features: tuple[str, ...] = INPUT_FEATURES
-    max_train_size: int = 5_000_000
+    max_train_size: int | None = None
     max_history_days: int = 100
     val_days: int = 7
     replicates: int = 3000

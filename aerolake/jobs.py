@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--input", help="files to score, history files, or the folder of dropped files")
     parser.add_argument("--output", help="folder for predictions (score)")
     for field in fields(FlightConfig):
-        convert = {"int": int, "float": float, "str": str}.get(str(field.type))
+        convert = {"int": int, "int | None": int, "float": float, "str": str}.get(str(field.type))
         if field.name == "as_of":
             convert = dt.date.fromisoformat
         if convert:

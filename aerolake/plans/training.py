@@ -61,7 +61,9 @@ def predict(model: PipelineModel, df: DataFrame, output: str = "prediction") ->
 
 
 def train_model(spark: SparkSession, config: FlightConfig) -> dict[str, float]:
-    """Split by date, cap, fit, measure, register; returns the test metrics.
+    """Split by date, fit, measure, register; returns the test metrics.
+
+    All rows before the split are trained on, unless ``max_train_size`` is set: then the newest ones, that many.
 
     The split is written first and the model is fitted from the written rows:
     every pass then sees the same rows whatever happens to an executor, and the
@@ -71,11 +73,13 @@ def train_model(spark: SparkSession, config: FlightConfig) -> dict[str, float]:
     features = model_frame(read_parquet(spark, config.features_path), config)
     bound = split_bound(config.run_date(), config.val_days)
     train, test = time_split(features, config.date_dk, bound)
-    # Accumulation drops rows without a target, so its counts are those of the model's rows.
-    counts = day_counts(spark, config)
-    if counts is not None:
-        counts, _ = time_split(counts, config.date_dk, bound)
-    sinks.write_snapshot(cap_newest(train, config.date_dk, config.max_train_size, config.seed, counts), config.train_path)
+    if config.max_train_size is not None:
+        # Accumulation drops rows without a target, so its counts are those of the model's rows.
+        counts = day_counts(spark, config)
+        if counts is not None:
+            counts, _ = time_split(counts, config.date_dk, bound)
+        train = cap_newest(train, config.date_dk, config.max_train_size, config.seed, counts)
+    sinks.write_snapshot(train, config.train_path)
     sinks.write_snapshot(test, config.test_path)
     train, test = read_parquet(spark, config.train_path), read_parquet(spark, config.test_path)
 

@@ -161,6 +161,18 @@ def test_train_compare_promote_monitor_and_score(spark, config, tmp_path):
     assert sorted(r.prediction for r in other) != pytest.approx(want)
 
 
+def test_training_takes_all_rows_of_a_large_table(spark, config):
+    n = 5_000_400
+    features_table = spark.range(n).selectExpr(
+        "date_sub(DATE '2000-03-20', CAST(id % 2 AS INT)) AS FL_DATE", "CAST(id % 50 AS DOUBLE) AS DEP_DELAY",
+        "CAST(id % 11 AS DOUBLE) AS TAXI_OUT", "CAST(id % 61 AS DOUBLE) AS CRS_ELAPSED_TIME", "CAST(id % 701 AS DOUBLE) AS DISTANCE",
+        "CAST(id % 50 + id % 3 AS DOUBLE) AS ARR_DELAY")
+    held_out = features_table.limit(50).withColumn("FL_DATE", F.lit(TODAY))
+    sinks.write_snapshot(features_table.unionByName(held_out), config.features_path)
+    training.train_model(spark, config)
+    assert tables.read_parquet(spark, config.train_path).count() == n
+
+
 def test_model_equals_least_squares(spark, config):
     """Against numpy on the same rows, with one indicator per weekday."""
     frame = training.model_frame(flights_frame(spark, raw_rows(600)), config)
